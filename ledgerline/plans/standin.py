@@ -132,81 +132,74 @@ def ledger_li(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _log(token: Column, topics: list[Column], data: Column) -> Column:
-    return F.struct(
-        token.alias("address"), F.array(*topics).alias("topics"), data.alias("data")
-    )
+_LOGS = "array<struct<address:string,topics:array<string>,data:string>>"
+_RECEIPT = f"struct<transactionHash:string,logs:{_LOGS}>"
+
+# What makes an event's log undecodable; see raw_receipts.
+NO_HEADER_DAY = 13
 
 
 def raw_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as undecoded receipts: ``event_id, block_number, receipts``.
 
     Each event becomes a record of three receipts: a null one, one without logs,
-    and one with three logs of which the middle one is the event. The event's own
-    log has a wrong signature, or too few topics, or an unregistered token, or
-    amount text that is not hexadecimal, where ``event_id`` modulo 7, 11, 13 or
-    17 is zero.
+    and one with three logs of which the middle one is the event. The event's
+    log is spoilt for receivers from 90 up (wrong signature) and from 80 to 89
+    (too few topics), for errors (unregistered token), and for values under 5
+    (amount text that is not hexadecimal).
     """
     events = numbered_events(spark, sf_dir)
-    number = events.join(
-        _token_numbers(spark), "asset"
-    )
-    n = F.col("event_id")
-    signature = F.when(n % 7 == 0, F.upper(F.lit(TRANSFER_TOPIC))).otherwise(TRANSFER_TOPIC)
-    sender = hash_text(F.col("from_number"))
-    receiver = hash_text(F.col("to_number"))
-    token = F.when(n % 13 == 0, F.lit(address_of(7))).otherwise(
-        F.concat(F.lit("0x"), F.upper(F.substring("token", 3, 40)))
-    )
+    names = list(token_addresses().items())
+    token = F.lit(None).cast("string")
+    for asset, contract in names:
+        token = F.when(F.col("asset") == asset, contract).otherwise(token)
+    token = F.when(F.col("asset") == "error", address_of(7)).otherwise(token)
+    receiver_number = F.col("to_number")
+    signature = F.when(receiver_number >= 90, TRANSFER_TOPIC.upper()).otherwise(TRANSFER_TOPIC)
+    sender, receiver = hash_text(F.col("from_number")), hash_text(receiver_number)
+    parties = F.array(signature, sender, receiver)
+    topics = F.when(receiver_number.between(80, 89), F.array(signature, sender))
     units = F.round(F.col("amount") * 1000000).cast("long")
-    data = F.when(n % 17 == 0, F.lit("0xnothex")).otherwise(hash_text(units))
-    event_topics = F.when(n % 11 == 0, F.array(signature, sender)).otherwise(
-        F.array(signature, sender, receiver)
+    data = F.when(F.col("amount") < 5, F.lit("0xnothex")).otherwise(hash_text(units))
+
+    def log(log_topics: Column, log_data: Column) -> Column:
+        return F.struct(
+            F.concat(F.lit("0x"), F.upper(F.substring(token, 3, 40))).alias("address"),
+            log_topics.alias("topics"),
+            log_data.alias("data"),
+        )
+
+    logs = F.array(
+        log(F.array(F.lit("0x" + "ab" * 32), sender, receiver), F.lit("0x01")),
+        log(topics.otherwise(parties), data),
+        log(F.array().cast("array<string>"), F.lit("0x02")),
     )
-    event_log = F.struct(
-        token.alias("address"), event_topics.alias("topics"), data.alias("data")
-    )
-    other = F.lit("0x" + "ab" * 32)
-    before = _log(token, [other, sender, receiver], F.lit("0x01"))
-    after = _log(token, [], F.lit("0x02"))
-    log_type = "array<struct<address:string,topics:array<string>,data:string>>"
-    receipt_type = f"struct<transactionHash:string,logs:{log_type}>"
-    tx_hash = hash_text(F.col("tx_number"))
+    tx_hash = hash_text(F.col("tx_number")).alias("transactionHash")
     receipts = F.array(
-        F.lit(None).cast(receipt_type),
-        F.struct(
-            tx_hash.alias("transactionHash"), F.lit(None).cast(log_type).alias("logs")
-        ).cast(receipt_type),
-        F.struct(
-            tx_hash.alias("transactionHash"),
-            F.array(
-                before.cast("struct<address:string,topics:array<string>,data:string>"),
-                event_log,
-                after.cast("struct<address:string,topics:array<string>,data:string>"),
-            ).alias("logs"),
-        ).cast(receipt_type),
+        F.lit(None).cast(_RECEIPT),
+        F.struct(tx_hash, F.lit(None).cast(_LOGS).alias("logs")).cast(_RECEIPT),
+        F.struct(tx_hash, logs.alias("logs")).cast(_RECEIPT),
     )
-    return number.select("event_id", "block_number", receipts.alias("receipts"))
+    return events.select("event_id", "block_number", receipts.alias("receipts"))
 
 
-def _token_numbers(spark: SparkSession) -> DataFrame:
-    from ledgerline.sources.registry import token_registry
+def token_addresses() -> dict[str, str]:
+    return {row[0]: row[1] for row in token_rows()}
 
-    return token_registry(spark, tokens=token_rows()).select(
-        "asset", F.col("address").alias("token")
-    )
+
+def _header_time() -> Column:
+    return F.concat(F.lit("0x"), F.lower(F.hex(F.col("block_number") * BLOCK_SECONDS)))
 
 
 def raw_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One header per block with events; every eleventh block is absent (null)."""
+    """One header per block with events; those of one day a month are null."""
     blocks = numbered_events(spark, sf_dir).select("block_number").distinct()
-    time = F.concat(F.lit("0x"), F.lower(F.hex(F.col("block_number") * BLOCK_SECONDS)))
+    day = F.day(F.date_from_unix_date(F.floor(F.col("block_number") / 4).cast("int")))
     return blocks.select(
-        "block_number", F.when(F.col("block_number") % 11 != 0, time).alias("timestamp")
+        "block_number", F.when(day != NO_HEADER_DAY, _header_time()).alias("timestamp")
     )
 
 
 def raw_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Receipts landed together with their header time."""
-    time = F.concat(F.lit("0x"), F.lower(F.hex(F.col("block_number") * BLOCK_SECONDS)))
-    return raw_receipts(spark, sf_dir).withColumn("timestamp", time)
+    return raw_receipts(spark, sf_dir).withColumn("timestamp", _header_time())

@@ -14,6 +14,8 @@ JOB_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # size of files from rebalanced writes and of pieces of skewed joins
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "zstd",
 }

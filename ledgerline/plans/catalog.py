@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.fixed_values import CHART_METRICS
 from ledgerline.functions import block_key, epoch_date, hex_to_long, whole_number
 from ledgerline.operators import contacts, decode, report, rollups, totals
 from ledgerline.plans import standin
+from ledgerline.schemas import TRANSFERS
 from ledgerline.session import working_folder
 from ledgerline.sinks.csv_export import daily_export_view, export_daily_csv, export_transfers_csv
 from ledgerline.sinks.tables import write_daily, write_transfers
-from ledgerline.sources.chain import block_spine
 from ledgerline.sources.daily_csv import daily_csv_files, read_daily_csv
 from ledgerline.sources.registry import protocol_dimension, token_registry
 from ledgerline.sources.transfers import count_transfers_csv, read_transfers_csv
@@ -26,10 +25,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 FIRST_BLOCK, LAST_BLOCK, CHUNK = 78892, 79011, 50
 
 
-def cents(column: str) -> Column:
-    return F.round(column, 2).alias(column)
-
-
 def comparable(stats: DataFrame) -> DataFrame:
     """Volume in cents and the average from it.
 
@@ -240,32 +235,29 @@ def chart_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.withColumn("log10_value", F.round("log10_value", 9))
 
 
+def _table_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return standin.ledger(spark, sf_dir).select(
+        *[
+            (F.col(f.name) if f.name != "amount_raw" else F.lit(None))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in TRANSFERS.fields
+        ]
+    )
+
+
 def transfers_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Table, CSV export, and back from CSV."""
     folder = working_folder(spark, "transfers")
     table = f"{folder}/table"
-    ledger = standin.ledger(spark, sf_dir)
-    shaped = ledger.withColumns(
-        {
-            "amount_raw": F.lit(None).cast("decimal(38,0)"),
-            "log_pos": F.col("log_pos").cast("int"),
-        }
-    )
-    write_transfers(shaped, table)
+    write_transfers(_table_shape(spark, sf_dir), table)
     export_transfers_csv(spark, table, folder, standin.ASSETS)
     return read_transfers_csv(spark, f"{folder}/*_transfers.csv")
 
 
 def transfers_csv_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = working_folder(spark, "counts")
-    ledger = standin.ledger(spark, sf_dir)
-    shaped = ledger.withColumns(
-        {
-            "amount_raw": F.lit(None).cast("decimal(38,0)"),
-            "log_pos": F.col("log_pos").cast("int"),
-        }
-    )
-    write_transfers(shaped, f"{folder}/table")
+    write_transfers(_table_shape(spark, sf_dir), f"{folder}/table")
     export_transfers_csv(spark, f"{folder}/table", folder, standin.ASSETS)
     return count_transfers_csv(spark, f"{folder}/*_transfers.csv")
 
@@ -311,17 +303,14 @@ def skipped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ledger landed as several files and taken in two files at a time."""
+    """The ledger landed as six files and taken in three at a time."""
     folder = working_folder(spark, "incremental")
     landed = f"{folder}/landed"
-    ledger = standin.ledger(spark, sf_dir).withColumn(
-        "amount_raw", F.lit(None).cast("decimal(38,0)")
-    )
-    # by sender, so that every file brings rows for every date
-    ledger.repartition(6, "from").write.parquet(landed)
+    # by transaction, so that every file brings rows for every date
+    _table_shape(spark, sf_dir).repartition(6, "tx_hash").write.parquet(landed)
     source = (
         spark.readStream.schema(spark.read.parquet(landed).schema)
-        .option("maxFilesPerTrigger", 2)
+        .option("maxFilesPerTrigger", 3)
         .parquet(landed)
     )
     tables = LedgerTables(f"{folder}/ledger")

@@ -1,8 +1,8 @@
 """Incremental ingest with exact running statistics.
 
 A streaming source of transfers is processed file batch by file batch. Each
-micro-batch stores its transfers and its key partials below ``batch_id=`` and
-then recomputes the dates it touched from the partials of all batches. Any
+micro-batch stores its transfers and its key partials below ``date=/batch_id=``
+and then recomputes the dates it touched from the partials of all batches. Any
 batch may bring rows for any date; nothing is late and no watermark is kept.
 Running a batch again after a failure overwrites what it had written, so every
 row counts once.
@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +36,10 @@ PARTIALS = T.StructType(
     ]
 )
 
+_STORED_TRANSFERS = T.StructType(
+    TRANSFERS.fields + [T.StructField("batch_id", T.LongType())]
+)
+
 
 @dataclass(frozen=True)
 class LedgerTables:
@@ -60,48 +65,59 @@ class LedgerTables:
 
 
 def stored_transfers(spark: SparkSession, tables: LedgerTables) -> DataFrame:
-    schema = T.StructType(TRANSFERS.fields + [T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(schema).parquet(tables.transfers)
-
-
-def stored_partials(spark: SparkSession, tables: LedgerTables) -> DataFrame:
-    return spark.read.schema(PARTIALS).parquet(tables.partials)
+    return spark.read.schema(_STORED_TRANSFERS).parquet(tables.transfers)
 
 
 def stored_daily(spark: SparkSession, tables: LedgerTables) -> DataFrame:
     return spark.read.schema(DAILY).parquet(tables.daily)
 
 
-def _replace(frame: DataFrame, path: str, *partitions: str) -> None:
-    """Writes the partitions of one batch over what an earlier try left."""
+def _replace(frame: DataFrame, path: str) -> None:
+    """Writes one batch, by date, over what an earlier try of it left.
+
+    A date with very many rows is cut into several files by the rebalance.
+    """
+    rows = frame.hint("rebalance", "date").sortWithinPartitions("date", "batch_id", "asset")
     (
-        frame.hint("rebalance", *partitions)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
+        .partitionBy("date", "batch_id")
         .parquet(path)
     )
 
 
+def _read_below(
+    spark: SparkSession, path: str, schema: T.StructType, *folders: str
+) -> DataFrame:
+    """Only these folders of a partitioned table are listed and read."""
+    reader = spark.read.schema(schema).option("basePath", path)
+    return reader.parquet(*[f"{path}/{folder}" for folder in folders])
+
+
 def apply_batch(transfers: DataFrame, batch_id: int, tables: LedgerTables) -> None:
     """Stores one batch and brings the daily table up to date.
 
     The batch is decoded once: its partials come from the stored transfers.
-    Partials of other dates are not read, as the touched dates reach the scan
-    as a partition filter. There is one such row per date of the batch.
+    Then the partials of the touched dates, and of no others, are merged. The
+    dates are the only thing that reaches the driver, one value per calendar
+    day. How often a day is merged depends on how many batches touch it, so a
+    batch should be about a day of blocks or more.
     """
     spark = transfers.sparkSession
-    _replace(
-        transfers.withColumn("batch_id", F.lit(batch_id).cast("long")),
-        tables.transfers, "batch_id", "asset", "date",
-    )
-    stored = stored_transfers(spark, tables).where(F.col("batch_id") == batch_id)
-    partials = key_partials(stored).withColumn("batch_id", F.lit(batch_id).cast("long"))
-    _replace(partials, tables.partials, "batch_id", "date")
-
-    every = stored_partials(spark, tables)
-    touched = every.where(F.col("batch_id") == batch_id).select("date").distinct()
-    current = every.join(touched, "date", "left_semi")
+    number = F.lit(batch_id).cast("long")
+    _replace(transfers.withColumn("batch_id", number), tables.transfers)
+    own = f"date=*/batch_id={batch_id}"
+    try:
+        stored = _read_below(spark, tables.transfers, _STORED_TRANSFERS, own)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return  # the batch held no transfers
+        raise
+    _replace(key_partials(stored).withColumn("batch_id", number), tables.partials)
+
+    dates = _read_below(spark, tables.partials, PARTIALS, own).select("date").distinct()
+    touched = [f"date={row.date}" for row in dates.collect()]
+    current = _read_below(spark, tables.partials, PARTIALS, *touched)
     write_daily(count_partials(merge_partials(current)), tables.daily, "date")
 
 

@@ -27,11 +27,16 @@ def _fields(line: Column) -> Column:
     return F.transform(F.split(line, ",", -1), _unquoted)
 
 
+def _one_spelling(file: Column) -> Column:
+    """Listing and scan write the root of a local path differently."""
+    return F.regexp_replace(file, "^file:/+", "file:/")
+
+
 def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     source = spark.read.text(paths, recursiveFileLookup=True)
     return source.select(
         F.col("value").alias("line"),
-        F.col("_metadata.file_path").alias("file"),
+        _one_spelling(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("line_order"),
     ).where(F.length(F.trim("line")) > 0)
@@ -85,7 +90,10 @@ def daily_csv_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     longer than its header is skipped as a whole; the others are unaffected.
     """
     lines = _lines(spark, paths)
-    listed = spark.read.format("binaryFile").load(paths, recursiveFileLookup=True)
+    # names come from the listing, because a scan passes over empty files
+    names_listed = spark.read.text(paths, recursiveFileLookup=True).inputFiles()
+    listed = spark.createDataFrame([(name,) for name in names_listed], "file string")
+    listed = listed.withColumn("file", _one_spelling(F.col("file")))
     rows = _parsed(lines)
     faults = rows.groupBy("file").agg(
         F.bool_or(F.col("date").isNull()).alias("bad_date"),
@@ -101,10 +109,8 @@ def daily_csv_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         .when(F.col("too_long"), _TOO_LONG)
         .when(F.col("bad_date"), _BAD_DATE)
     )
-    file = F.col("_metadata.file_path")
     return (
-        listed.where(F.regexp_extract(file, _ASSET, 1) != "")
-        .select(file.alias("file"))
+        listed.where(F.regexp_extract("file", _ASSET, 1) != "")
         .join(_headers(lines).drop("asset"), "file", "left")
         .join(faults, "file", "left")
         .withColumn("asset", F.regexp_extract("file", _ASSET, 1))

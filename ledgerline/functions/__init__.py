@@ -10,6 +10,7 @@ from ledgerline.functions.hexadecimal import (
     is_hex,
     low_limb,
     raw_amount,
+    significant_digits,
     topic_address,
 )
 from ledgerline.functions.money import currency_mark, money_text, whole_number
@@ -26,6 +27,7 @@ __all__ = [
     "low_limb",
     "money_text",
     "raw_amount",
+    "significant_digits",
     "text_date",
     "topic_address",
     "whole_number",

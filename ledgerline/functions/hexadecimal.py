@@ -25,11 +25,16 @@ def is_hex(text: Column) -> Column:
     return text.rlike("^(0x|(0[xX])?[0-9a-fA-F]+)$")
 
 
-def hex_digits(text: Column) -> Column:
-    """Significant digits of hex text, ``''`` for zero, NULL if not a number."""
+def significant_digits(text: Column) -> Column:
+    """Hex text without prefix and leading zeros; ``''`` for zero. Not checked."""
     prefixed = text.startswith("0x") | text.startswith("0X")
     body = F.when(prefixed, F.substring(text, 3, 2**30)).otherwise(text)
-    return F.when(is_hex(text), F.ltrim(body, F.lit("0")))
+    return F.ltrim(body, F.lit("0"))
+
+
+def hex_digits(text: Column) -> Column:
+    """Significant digits of hex text, NULL if it is not a number."""
+    return F.when(is_hex(text), significant_digits(text))
 
 
 def _limb(digits: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions import block_key, epoch_date, hex_to_long, whole_number
+from ledgerline.functions import block_key, epoch_date, whole_number
 from ledgerline.operators import contacts, decode, report, rollups, totals
 from ledgerline.plans import standin
 from ledgerline.schemas import TRANSFERS
@@ -85,8 +85,7 @@ def asset_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def block_time_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = decode.transfer_events(_logs(spark, sf_dir)).select("event_id", "block_number")
-    timed = decode.attach_time(events, standin.raw_headers(spark, sf_dir))
-    return timed.withColumn("timestamp", hex_to_long(F.col("timestamp")))
+    return decode.attach_time(events, standin.raw_headers(spark, sf_dir))
 
 
 def asset_selection(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,12 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _padded(number: Column, width: int) -> Column:
+    """``0x`` and ``width`` lower-case digits; a long fills at most 16 of them."""
+    digits = F.lpad(F.lower(F.hex(number)), 16, "0")
+    return F.concat(F.lit("0x" + "0" * (width - 16)), digits)
+
+
 def address(number: Column) -> Column:
-    return F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(number)), 40, "0"))
+    return _padded(number, 40)
 
 
 def hash_text(number: Column) -> Column:
-    return F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(number)), 64, "0"))
+    return _padded(number, 64)
 
 
 def address_of(number: int) -> str:

@@ -54,7 +54,7 @@ def distinct_plan(transfers: DataFrame) -> DataFrame:
     )
     parties = transfers.select(*by, F.explode(F.array(F.lower("from"), F.lower("to"))).alias("a"))
     addresses = parties.groupBy(*by).agg(F.count_distinct("a").alias("different_addresses"))
-    return single.join(addresses, list(by))
+    return single.join(addresses, list(by)).orderBy(*by)
 
 
 def seconds(frame_of) -> float:

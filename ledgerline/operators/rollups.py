@@ -1,11 +1,14 @@
-"""Exact daily and whole-range statistics through mergeable key partials.
+"""Exact daily and whole-range statistics in two aggregation levels.
 
-A *partial* is one row per group and key, where a key is a transaction or an
-address. Distinct counts become plain counts of partials, so no plan here needs
-several ``count(DISTINCT)`` at once. The first aggregation is keyed by
-transaction or address and combined on the map side: a day, an asset, an
+The first level has one row per group and key, where a key is a transaction or
+an address; the second counts those rows. Distinct counts so become plain
+counts, and no plan here needs several ``count(DISTINCT)`` at once. The first
+level is combined on the map side and spread by its key: a day, an asset, an
 address or a transaction that holds a third of all rows is folded before the
 shuffle and never gathered in one task.
+
+Rows of the first level can also be kept as *partials*, which merge exactly;
+the incremental ledger is built on them.
 """
 
 from __future__ import annotations
@@ -63,10 +66,14 @@ def count_partials(partials: DataFrame, by: Sequence[str] = DAILY_KEYS) -> DataF
         F.sum("volume").alias("total_volume"),
         F.count_if(F.col("is_tx")).alias("transaction_count"),
         F.sum("transfers").alias("transfer_count"),
-        F.count_if(~F.col("is_tx")).alias("different_addresses"),
+        F.count_if(~F.col("is_tx") & F.col("key").isNotNull()).alias("different_addresses"),
         F.count_if(F.col("defi")).alias("defi_transaction_count"),
         F.count_if(F.col("rollup")).alias("rollup_transaction_count"),
     )
+    return _ordered(stats, by)
+
+
+def _ordered(stats: DataFrame, by: Sequence[str]) -> DataFrame:
     return stats.select(
         *by,
         "total_volume",
@@ -79,22 +86,62 @@ def count_partials(partials: DataFrame, by: Sequence[str] = DAILY_KEYS) -> DataF
     )
 
 
-def ledger_stats(transfers: DataFrame, by: Sequence[str]) -> DataFrame:
-    """All statistics of the transfers per group; unordered."""
-    return count_partials(key_partials(transfers, by), by)
+def transaction_stats(transfers: DataFrame, by: Sequence[str] = DAILY_KEYS) -> DataFrame:
+    """Everything but the addresses: first per transaction, then per group."""
+    per_tx = transfers.groupBy(*by, "tx_hash").agg(
+        F.sum("amount").alias("volume"),
+        F.count("*").alias("transfers"),
+        F.bool_or("is_defi_transaction").alias("defi"),
+        F.bool_or("is_rollup_transaction").alias("rollup"),
+    )
+    return per_tx.groupBy(*by).agg(
+        F.sum("volume").alias("total_volume"),
+        F.count("*").alias("transaction_count"),
+        F.sum("transfers").alias("transfer_count"),
+        F.count_if(F.col("defi")).alias("defi_transaction_count"),
+        F.count_if(F.col("rollup")).alias("rollup_transaction_count"),
+    )
 
 
-def daily_stats(transfers: DataFrame) -> DataFrame:
+def address_stats(transfers: DataFrame, by: Sequence[str] = DAILY_KEYS) -> DataFrame:
+    """Distinct addresses over the union of both sides, lower-cased."""
+    parties = transfers.select(
+        *by, F.explode(F.array(F.lower("from"), F.lower("to"))).alias("address")
+    )
+    return parties.distinct().groupBy(*by).agg(
+        F.count("address").alias("different_addresses")
+    )
+
+
+def ledger_stats(
+    transfers: DataFrame, by: Sequence[str], single_pass: bool = False
+) -> DataFrame:
+    """All statistics of the transfers per group; unordered.
+
+    Over a stored columnar ledger, transactions and addresses are two branches:
+    they read different columns, an address row carries nothing but its key to
+    the shuffle, and the two small results are partitioned alike, so that
+    joining them moves nothing. ``single_pass`` is for transfers that are
+    expensive to produce, such as ones decoded on the fly: it reads its input
+    once and sends somewhat wider rows through one shuffle.
+    """
+    if single_pass:
+        return count_partials(key_partials(transfers, by), by)
+    stats = transaction_stats(transfers, by).join(address_stats(transfers, by), list(by))
+    return _ordered(stats, by)
+
+
+def daily_stats(transfers: DataFrame, single_pass: bool = False) -> DataFrame:
     """Statistics per asset and date, sorted by asset and date."""
-    return ledger_stats(transfers, DAILY_KEYS).orderBy(*DAILY_KEYS)
+    return ledger_stats(transfers, DAILY_KEYS, single_pass).orderBy(*DAILY_KEYS)
 
 
-def overall_stats(transfers: DataFrame) -> DataFrame:
+def overall_stats(transfers: DataFrame, single_pass: bool = False) -> DataFrame:
     """Statistics per asset over the whole range.
 
     Distinct figures are distinct over the range, not sums of daily figures.
     """
-    return ledger_stats(transfers, ("asset",))
+    return ledger_stats(transfers, ("asset",), single_pass)
 
 
 def daily_and_overall(partials: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -130,14 +177,14 @@ def daily_addresses(transfers: DataFrame, relative_error: float | None = None) -
     With ``relative_error`` the count is a HyperLogLog estimate of that
     standard deviation, which needs no shuffle of addresses.
     """
+    if relative_error is None:
+        return address_stats(transfers)
     parties = transfers.select(
         *DAILY_KEYS, F.explode(F.array(F.lower("from"), F.lower("to"))).alias("address")
     )
-    if relative_error is None:
-        counted = F.count_distinct("address")
-    else:
-        counted = F.approx_count_distinct("address", relative_error)
-    return parties.groupBy(*DAILY_KEYS).agg(counted.alias("different_addresses"))
+    return parties.groupBy(*DAILY_KEYS).agg(
+        F.approx_count_distinct("address", relative_error).alias("different_addresses")
+    )
 
 
 def daily_categories(transfers: DataFrame) -> DataFrame:

@@ -173,7 +173,8 @@ def daily_stats_li(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_stats_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(rollups.daily_stats(decode_with_headers(spark, sf_dir)))
+    transfers = decode_with_headers(spark, sf_dir)
+    return comparable(rollups.daily_stats(transfers, single_pass=True))
 
 
 def overall_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

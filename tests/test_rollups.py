@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,15 +22,18 @@ def as_dict(frame, keys):
     return {tuple(r)[:keys]: tuple(r)[keys:] for r in frame.collect()}
 
 
-def test_daily_equals_brute_force_with_hot_keys(ledger, rows):
-    got = rollups.daily_stats(ledger)
+@pytest.mark.parametrize("single_pass", [False, True])
+def test_daily_equals_brute_force_with_hot_keys(ledger, rows, single_pass):
+    got = rollups.daily_stats(ledger, single_pass)
     assert as_dict(got, 2) == brute.stats(rows, lambda r: (r[0], r[1]))
     keys = [(r.asset, r.date) for r in got.collect()]
     assert keys == sorted(keys)
 
 
-def test_overall_equals_brute_force(ledger, rows):
-    assert as_dict(rollups.overall_stats(ledger), 1) == brute.stats(rows, lambda r: (r[0],))
+@pytest.mark.parametrize("single_pass", [False, True])
+def test_overall_equals_brute_force(ledger, rows, single_pass):
+    got = rollups.overall_stats(ledger, single_pass)
+    assert as_dict(got, 1) == brute.stats(rows, lambda r: (r[0],))
 
 
 def test_single_figures_agree_with_daily(ledger, rows):
@@ -74,9 +78,25 @@ def plan_of(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-def test_daily_plan_has_one_scan_no_expand_and_partial_aggregation(spark, ledger, tmp_path):
+def test_daily_plan_reads_each_column_once_and_joins_in_place(spark, ledger, tmp_path):
     ledger.write.parquet(str(tmp_path / "t"))
-    plan = plan_of(rollups.ledger_stats(spark.read.parquet(str(tmp_path / "t")), ("asset", "date")))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    plan = plan_of(rollups.ledger_stats(stored, ("asset", "date")))
+    columns = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    read = sorted(sorted(re.findall(r"([a-z_]+)#", c)) for c in columns)
+    assert read == [
+        ["amount", "asset", "date", "is_defi_transaction", "is_rollup_transaction", "tx_hash"],
+        ["asset", "date", "from", "to"],
+    ]
+    # two levels in each of two branches, and none for the join
+    assert plan.count("Exchange") == 4 or "BroadcastExchange" in plan
+    assert "Expand" not in plan and "partial_sum" in plan
+
+
+def test_single_pass_plan_has_one_scan_and_no_join(spark, ledger, tmp_path):
+    ledger.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    plan = plan_of(rollups.ledger_stats(stored, ("asset", "date"), single_pass=True))
     assert plan.count("FileScan") == 1
     assert "Expand" not in plan and "Join" not in plan
     assert plan.count("Exchange") == 2

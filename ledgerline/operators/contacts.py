@@ -46,13 +46,14 @@ def flag_contacts_from_table(
 ) -> DataFrame:
     """The same flags from a ``category, address`` table of any size.
 
-    ``broadcast`` is decided by measuring the table unless given.
+    ``broadcast`` is decided by measuring the table unless given; repeated
+    addresses count in that measure, so it errs on the side of shuffling.
     """
+    if broadcast is None:
+        broadcast = fits_broadcast(dimension, "address")
     by_address = dimension.groupBy(F.lower("address").alias("_address")).agg(
         *[F.bool_or(F.col("category") == c).alias(f"_{c}") for c in categories]
     )
-    if broadcast is None:
-        broadcast = fits_broadcast(by_address, "_address")
     flagged = transfers
     for side in ("from", "to"):
         found = by_address.withColumnsRenamed({f"_{c}": f"_{c}_{side}" for c in categories})

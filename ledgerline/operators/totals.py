@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.fixed_values import CHUNK_BLOCKS, END_BLOCK, START_BLOCK
 from ledgerline.functions import currency_mark
 from ledgerline.sources.chain import block_spine
 
@@ -23,7 +24,12 @@ def with_labels(stats: DataFrame, registry: DataFrame) -> DataFrame:
     return stats.join(names, "asset")
 
 
-def chunk_counts(transfers: DataFrame, start: int, end: int, chunk_blocks: int) -> DataFrame:
+def chunk_counts(
+    transfers: DataFrame,
+    start: int = START_BLOCK,
+    end: int = END_BLOCK,
+    chunk_blocks: int = CHUNK_BLOCKS,
+) -> DataFrame:
     """Transfers per chunk of blocks and asset, with the chunk's block bounds.
 
     Chunks are numbered from 0; pairs without transfers are left out.
@@ -46,7 +52,10 @@ def chunk_counts(transfers: DataFrame, start: int, end: int, chunk_blocks: int)
 
 
 def missing_blocks(
-    spark: SparkSession, headers: DataFrame, start: int, end: int
+    spark: SparkSession,
+    headers: DataFrame,
+    start: int = START_BLOCK,
+    end: int = END_BLOCK,
 ) -> DataFrame:
     """Blocks of the inclusive range without a present header."""
     present = headers.where(F.col("timestamp").isNotNull()).select("block_number")
@@ -54,7 +63,11 @@ def missing_blocks(
 
 
 def block_coverage(
-    spark: SparkSession, headers: DataFrame, start: int, end: int, chunk_blocks: int
+    spark: SparkSession,
+    headers: DataFrame,
+    start: int = START_BLOCK,
+    end: int = END_BLOCK,
+    chunk_blocks: int = CHUNK_BLOCKS,
 ) -> DataFrame:
     """Blocks asked for and blocks present, per chunk of the range.
 

@@ -13,14 +13,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.fixed_values import CHUNK_BLOCKS, TOKENS
+from ledgerline.fixed_values import CHUNK_BLOCKS, END_BLOCK, START_BLOCK, TOKENS
 from ledgerline.operators.decode import accepted, decode_logs, rejected
 from ledgerline.operators.report import chart_series, summary_stats
 from ledgerline.operators.rollups import DAILY_KEYS, ledger_stats, overall_stats
 from ledgerline.operators.totals import chunk_counts, transfers_per_asset, with_labels
 from ledgerline.schemas import DAILY
 from ledgerline.sinks.csv_export import export_daily_csv, export_transfers_csv
-from ledgerline.sinks.tables import clear_assets, write_daily, write_transfers
+from ledgerline.sinks.tables import (
+    clear_assets,
+    write_daily,
+    write_series,
+    write_transfers,
+)
 from ledgerline.sources.daily_csv import daily_csv_files, read_daily_csv
 from ledgerline.sources.registry import CONTRACTS, select_tokens, token_registry
 from ledgerline.sources.transfers import read_transfers
@@ -61,7 +66,10 @@ class Ledger:
         return transfers_per_asset(self.transfers(), self.registry)
 
     def chunk_counts(
-        self, start: int, end: int, chunk_blocks: int = CHUNK_BLOCKS
+        self,
+        start: int = START_BLOCK,
+        end: int = END_BLOCK,
+        chunk_blocks: int = CHUNK_BLOCKS,
     ) -> DataFrame:
         return chunk_counts(self.transfers(), start, end, chunk_blocks)
 
@@ -112,6 +120,12 @@ class Report:
     summary: DataFrame
     files: DataFrame
 
+    def write(self, folder: str) -> None:
+        """Series by metric, summary and file verdicts as Parquet below ``folder``."""
+        write_series(self.series, f"{folder}/series")
+        self.summary.write.mode("overwrite").parquet(f"{folder}/summary")
+        self.files.write.mode("overwrite").parquet(f"{folder}/files")
+
 
 def report(spark: SparkSession, daily_files: str | list[str]) -> Report:
     """Loads ``*_daily_stats.csv`` files and derives series and summary."""

@@ -1,4 +1,4 @@
-"""Parquet tables: transfers, key partials, daily statistics."""
+"""Parquet tables: transfers, daily statistics, chart series."""
 
 from __future__ import annotations
 
@@ -35,6 +35,12 @@ def write_daily(daily: DataFrame, path: str, partition: str = "asset") -> None:
     _write(rows, path, "overwrite", (partition,))
 
 
+def write_series(series: DataFrame, path: str) -> None:
+    """Chart points by metric: one chart reads one partition."""
+    rows = series.hint("rebalance", "metric")
+    _write(rows.sortWithinPartitions("metric", "asset", "date"), path, "overwrite", ("metric",))
+
+
 def clear_assets(spark: SparkSession, path: str, assets: Iterable[str]) -> None:
     """Empties the partitions of some assets and leaves the others alone.
 

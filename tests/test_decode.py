@@ -176,3 +176,25 @@ def test_protocol_dimension(spark):
 def test_registry_is_broadcast_by_its_size(spark, landed):
     plan = transfers(spark, landed)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [address" in plan
+
+
+def test_block_range_and_columns_reach_a_parquet_scan(spark, landed, tmp_path):
+    path = str(tmp_path / "blocks")
+    landed["blocks"].withColumn("miner", F.lit("unused")).write.parquet(path)
+    some = read_blocks(spark, path, 22700001, 22700001, form="parquet")
+    assert [r.block_number for r in some.collect()] == [22700001]
+    plan = decode.explode_logs(some)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(block_number,22700001)" in plan
+    assert "LessThanOrEqual(block_number,22700001)" in plan
+    assert "miner" not in plan
+    decoded = decode.decode_transfers(some, token_registry(spark))
+    assert rows(decoded) == golden.TRANSFERS[4:]
+
+
+def test_many_records_of_one_block_add_up(spark, landed):
+    """A block may be landed in pieces, one receipt per record."""
+    pieces = landed["blocks"].withColumn("receipts", F.explode("receipts")).withColumn(
+        "receipts", F.array("receipts")
+    )
+    decoded = decode.decode_transfers(pieces, token_registry(spark))
+    assert sorted(rows(decoded)) == sorted(golden.TRANSFERS)

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import golden
-from ledgerline.operators import decode, report, rollups
+from ledgerline.fixed_values import CHART_METRICS
+from ledgerline.operators import decode, report
 from ledgerline.plans import jobs
 from ledgerline.schemas import TRANSFERS
 from ledgerline.sinks.csv_export import daily_export_view
@@ -97,6 +98,16 @@ def test_report_from_exported_files(spark, ledger):
     ]
 
 
+def test_report_is_stored_by_metric(spark, ledger, tmp_path):
+    _, folder = ledger
+    jobs.report(spark, f"{folder}/*_daily_stats.csv").write(str(tmp_path))
+    assert sorted(p.name for p in (tmp_path / "series").glob("metric=*")) == sorted(
+        f"metric={m}" for m in CHART_METRICS
+    )
+    assert spark.read.parquet(str(tmp_path / "series")).count() == 4 * len(CHART_METRICS)
+    assert spark.read.parquet(str(tmp_path / "summary")).count() == 3
+
+
 def test_analyse_labels(spark, ledger):
     made, _ = ledger
     got = {r.asset: (r.currency, r.transfer_count) for r in

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm.ngram_join import ngram_join
+from ledgerline.llm.sentence_pieces import encode
+from ledgerline.llm.token_count import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,12 +18,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return encode(table(spark, sf_dir, "documents"), path, check=True)
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"), length=3, num=90, den=100)
 
 
+def op8_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return count_tokens(table(spark, sf_dir, "documents"), path, limit=512)
+
+
 QUERIES: dict[str, Query] = {
+    "op1_sentence_pieces": op1_sentence_pieces,
     "op7_ngram_join": op7_ngram_join,
+    "op8_token_count": op8_token_count,
 }
 
 ORACLE: dict[str, str] = {}

@@ -181,7 +181,7 @@ class CountRule:
         )
         if not understood:
             raise ValueError(f"{path} is not a plain byte-level BPE file")
-        if max(model["vocab"].values()) >= 1 << 17 or max(map(len, model["vocab"])) > 255:
+        if max(model["vocab"].values()) >= 1 << 17 or max(map(len, model["vocab"])) > 128:
             raise ValueError("the vocabulary is too large for packed states")
         self.special = [t["content"] for t in spec["added_tokens"]]
         if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec["added_tokens"]):
@@ -236,6 +236,7 @@ class Counter:
         self.rule = rule
         self.child = dict(zip(rule.steps.tolist(), rule.nodes.tolist()))
         self.token_at = rule.token_at.tolist()
+        self.inner = set((rule.steps >> 8).tolist())  # nodes that go on
         self.pairs: dict[int, bool] = {}
         self.classes = character_classes()
         self._clear()
@@ -246,8 +247,9 @@ class Counter:
         self.next = np.zeros(size, np.int32)
         self.emits = np.zeros(size, np.int8)
         self.used = 0
-        # what is live: (prefix tree node, last token + 1, tokens since) in one number each
-        start = (0,)
+        # what is live: prefix tree node, last token + 1, tokens up to there less tokens now
+        # plus 128, in one number each
+        start = (128,)
         self.states = [start]
         self.number = {start: 0}
 
@@ -268,7 +270,7 @@ class Counter:
         for step in steps.tolist():
             byte = step & 255
             moved.append([
-                (node, (live >> 8 & 0x1FFFF) - 1, -(live & 255))
+                (node, (live >> 8 & 0x1FFFF) - 1, (live & 255) - 128)
                 for live in self.states[step >> 8]
                 if (node := child.get(live >> 25 << 8 | byte)) is not None
             ])
@@ -285,8 +287,12 @@ class Counter:
             )
             # counts are kept relative to the newest place, which makes states few
             state = (
-                *((node << 17 | last + 1) << 8 | end[1] - count for node, last, count in row),
-                end[0] + 1 << 8,
+                *(
+                    (node << 17 | last + 1) << 8 | count - end[1] + 128
+                    for node, last, count in row
+                    if node in self.inner
+                ),
+                end[0] + 1 << 8 | 128,
             )
             number = self.number.setdefault(state, len(self.states))
             if number == len(self.states):

@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm.ngram_join import ngram_join
 from ledgerline.llm.sentence_pieces import encode
+from ledgerline.llm.source_mix import mix_sources
+from ledgerline.llm.source_mix_sql import MIX_SQL
 from ledgerline.llm.token_count import count_tokens
+from ledgerline.llm.token_file import token_file_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +26,11 @@ def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), path, check=True)
 
 
+def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_file_digest(table(spark, sf_dir, "documents"), path, end_id=1)
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"), length=3, num=90, den=100)
 
@@ -32,10 +40,17 @@ def op8_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), path, limit=512)
 
 
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentence_pieces": op1_sentence_pieces,
+    "op5_token_file": op5_token_file,
     "op7_ngram_join": op7_ngram_join,
     "op8_token_count": op8_token_count,
+    "op10_source_mix": op10_source_mix,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op10_source_mix": MIX_SQL}

@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm.ngram_join import ngram_join
+from ledgerline.llm.quality import classify_quality
 from ledgerline.llm.sentence_pieces import encode
+from ledgerline.llm.simhash import fingerprint_documents
 from ledgerline.llm.source_mix import mix_sources
 from ledgerline.llm.source_mix_sql import MIX_SQL
 from ledgerline.llm.token_count import count_tokens
 from ledgerline.llm.token_file import token_file_digest
+from ledgerline.llm.toxicity import classify_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +29,14 @@ def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), path, check=True)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_file_digest(table(spark, sf_dir, "documents"), path, end_id=1)
@@ -40,6 +51,10 @@ def op8_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), path, limit=512)
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -47,9 +62,12 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_sentence_pieces": op1_sentence_pieces,
+    "op2_quality": op2_quality,
+    "op3_toxicity": op3_toxicity,
     "op5_token_file": op5_token_file,
     "op7_ngram_join": op7_ngram_join,
     "op8_token_count": op8_token_count,
+    "op9_simhash": op9_simhash,
     "op10_source_mix": op10_source_mix,
 }
 

@@ -7,6 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.llm.html_text import extract_main_text
+from ledgerline.llm.multi_index import nearest_vectors
 from ledgerline.llm.ngram_join import ngram_join
 from ledgerline.llm.quality import classify_quality
 from ledgerline.llm.sentence_pieces import encode
@@ -37,11 +39,19 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_vectors(table(spark, sf_dir, "embeddings"), nearest=20)
+
+
 def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_file_digest(table(spark, sf_dir, "documents"), path, end_id=1)
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"), length=3, num=90, den=100)
 
@@ -64,7 +74,9 @@ QUERIES: dict[str, Query] = {
     "op1_sentence_pieces": op1_sentence_pieces,
     "op2_quality": op2_quality,
     "op3_toxicity": op3_toxicity,
+    "op4_multi_index": op4_multi_index,
     "op5_token_file": op5_token_file,
+    "op6_html_text": op6_html_text,
     "op7_ngram_join": op7_ngram_join,
     "op8_token_count": op8_token_count,
     "op9_simhash": op9_simhash,

@@ -2,9 +2,9 @@
 
 from ledgerline.functions.dates import epoch_date, text_date
 from ledgerline.functions.hexadecimal import (
-    MAX_DIGITS,
     block_key,
     decimal_amount,
+    exceeds_double,
     hex_digits,
     hex_to_long,
     is_hex,
@@ -16,10 +16,10 @@ from ledgerline.functions.hexadecimal import (
 from ledgerline.functions.money import currency_mark, money_text, whole_number
 
 __all__ = [
-    "MAX_DIGITS",
     "block_key",
     "currency_mark",
     "decimal_amount",
+    "exceeds_double",
     "epoch_date",
     "hex_digits",
     "hex_to_long",

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 _LIMB = 15
 _LIMB_BASE = 16**_LIMB
-MAX_DIGITS = 255
+# 255 digits are below 2^1020, so a double; over 520 they are none for any decimals
+_SURE_DIGITS, _MOST_DIGITS = 255, 520
+_SHIFT = 1000
 _EXACT_DOUBLE = 2**53
 
 
@@ -77,14 +79,26 @@ def decimal_amount(digits: Column, low: Column, raw: Column, decimals: Column) -
     - up to 120 bits the decimal text with an exponent is parsed, which rounds
       once;
     - beyond, the hex text is parsed as a hexadecimal float and divided, which
-      rounds twice.
+      rounds twice; from 2^1020 on it is parsed 2^1000 times smaller, so that only
+      an amount that is itself too large becomes infinite.
     """
     size = F.length(digits)
     scale = F.pow(F.lit(10.0), decimals)
+    small = F.concat(F.lit("0x"), F.left(digits, F.lit(_MOST_DIGITS)), F.lit(f"p-{_SHIFT}"))
     parsed = F.concat(raw.cast("string"), F.lit("E-"), decimals.cast("string"))
     hex_float = F.concat(F.lit("0x"), digits, F.lit("p0"))
     return (
         F.when((size <= _LIMB) & (low < _EXACT_DOUBLE), low.cast("double") / scale)
         .when(size <= 2 * _LIMB, parsed.cast("double"))
-        .otherwise(hex_float.cast("double") / scale)
+        .when(size <= _SURE_DIGITS, hex_float.cast("double") / scale)
+        .otherwise(small.cast("double") / scale * F.lit(2.0**_SHIFT))
     )
+
+
+def exceeds_double(digits: Column, decimals: Column) -> Column:
+    """Whether an amount of these significant digits is too large for a double."""
+    size = F.length(digits)
+    nothing = F.lit(None).cast("decimal(38,0)")
+    amount = decimal_amount(digits, F.lit(0).cast("long"), nothing, decimals)
+    infinite = F.abs(amount) == F.lit(float("inf"))
+    return (size > _MOST_DIGITS) | ((size > _SURE_DIGITS) & infinite)

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.fixed_values import TRANSFER_TOPIC
 from ledgerline.functions import (
-    MAX_DIGITS,
     decimal_amount,
     epoch_date,
+    exceeds_double,
     hex_to_long,
     is_hex,
     low_limb,
@@ -90,14 +90,21 @@ def block_times(headers: DataFrame) -> DataFrame:
 
 
 def attach_time(rows: DataFrame, headers: DataFrame) -> DataFrame:
-    """Inner join to present block headers, one per block.
+    """Inner join to present block headers.
 
+    A block landed more than once counts once, with its earliest readable time.
     Joined after filtering, so what is shuffled is decoded transfers and not
     whole blocks. A block holding a large share of the rows is split by the
-    adaptive skew join, which both sides qualify for as plain inputs.
+    adaptive skew join. That needs a plain exchange below the join on both
+    sides, so headers are folded by a struct of the block number: its
+    partitioning is not taken for that of the join.
     """
     times = block_times(headers.select("block_number", "timestamp"))
-    return rows.join(times, "block_number")
+    folded = times.groupBy(F.struct("block_number").alias("block")).agg(
+        F.min("timestamp").alias("timestamp")
+    )
+    once = folded.select(F.col("block.block_number").alias("block_number"), "timestamp")
+    return rows.join(once, "block_number")
 
 
 def decode_logs(
@@ -124,14 +131,20 @@ def decode_logs(
         F.when(F.col("tx_hash").isNull(), "no transaction hash")
         .when(F.col("from").isNull() | F.col("to").isNull(), "null topic")
         .when(F.coalesce(~is_hex(F.col("data")), F.lit(True)), "amount is not hexadecimal")
-        .when(F.length("data") > MAX_DIGITS, "amount exceeds a double")
+        .when(
+            exceeds_double(significant_digits(F.col("data")), F.col("decimals")),
+            "amount exceeds a double",
+        )
         .when(F.col("timestamp").isNull(), "block time is not hexadecimal")
     )
     return decoded.withColumn("reject_reason", reason)
 
 
 def decode_amounts(rows: DataFrame) -> DataFrame:
-    """Adds ``amount_raw`` and ``amount`` from ``data`` and ``decimals``.
+    """Adds ``amount_raw``, ``amount_hex`` and ``amount`` from ``data`` and ``decimals``.
+
+    An integer of more than 120 bits is kept as hexadecimal digits in
+    ``amount_hex``, any other as a number in ``amount_raw``.
 
     ``data`` must have been checked by ``is_hex``, as accepted rows are.
     Shared pieces are columns of their own stages, so each is computed once per
@@ -141,6 +154,9 @@ def decode_amounts(rows: DataFrame) -> DataFrame:
     pieces = rows.withColumn("_digits", significant_digits(F.col("data")))
     pieces = pieces.withColumn("_low", low_limb(F.col("_digits")))
     pieces = pieces.withColumn("amount_raw", raw_amount(F.col("_digits"), F.col("_low")))
+    pieces = pieces.withColumn(
+        "amount_hex", F.when(F.col("amount_raw").isNull(), F.lower(F.col("_digits")))
+    )
     amount = decimal_amount(
         F.col("_digits"), F.col("_low"), F.col("amount_raw"), F.col("decimals")
     )
@@ -158,6 +174,33 @@ def accepted(
     return flag_contacts(dated, contracts).select(*TRANSFERS.fieldNames())
 
 
+def accepted_and_rejected(
+    decoded: DataFrame,
+    contracts: Mapping[str, Mapping[str, Sequence[str]]] = CONTRACTS,
+    zone: str = "UTC",
+) -> DataFrame:
+    """All decoded logs in one table, for one pass over the blocks.
+
+    Transfers have no ``reject_reason``; rejects have one, and no amounts.
+    """
+    good = F.col("reject_reason").isNull()
+    checked = decoded.withColumn("_text", F.col("data"))
+    # what is no amount is not taken for one
+    checked = checked.withColumn("data", F.when(good, F.col("data")).otherwise("0x0"))
+    amounts = decode_amounts(checked)
+    figures = ("amount", "amount_raw", "amount_hex")
+    dated = amounts.withColumns(
+        {
+            **{c: F.when(good, F.col(c)) for c in figures},
+            "data": F.col("_text"),
+            "date": epoch_date(F.col("timestamp"), zone),
+        }
+    )
+    return flag_contacts(dated, contracts).select(
+        *TRANSFERS.fieldNames(), "data", "reject_reason"
+    )
+
+
 def rejected(decoded: DataFrame) -> DataFrame:
     """Logs that could not be decoded, with the reason and the raw amount text."""
     return decoded.where(F.col("reject_reason").isNotNull()).select(
@@ -177,10 +220,13 @@ def decode_transfers(
     return accepted(decode_logs(receipts, registry, headers), contracts, zone)
 
 
+CHAIN_ORDER = ("block_number", "tx_pos", "log_pos")
+
+
 def in_chain_order(transfers: DataFrame) -> DataFrame:
     """Block, then receipt, then log.
 
     The positions are part of the range key, so one crowded block still spreads
     over several sort tasks.
     """
-    return transfers.orderBy("block_number", "tx_pos", "log_pos")
+    return transfers.orderBy(*CHAIN_ORDER)

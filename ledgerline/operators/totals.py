@@ -58,7 +58,9 @@ def missing_blocks(
     end: int = END_BLOCK,
 ) -> DataFrame:
     """Blocks of the inclusive range without a present header."""
-    present = headers.where(F.col("timestamp").isNotNull()).select("block_number")
+    present = headers.where(
+        F.col("timestamp").isNotNull() & F.col("block_number").between(start, end)
+    ).select("block_number")
     return block_spine(spark, start, end).join(present, "block_number", "left_anti")
 
 

@@ -7,24 +7,26 @@ gives the whole-range figures of a stored ledger.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.fixed_values import CHUNK_BLOCKS, END_BLOCK, START_BLOCK, TOKENS
-from ledgerline.operators.decode import accepted, decode_logs, rejected
-from ledgerline.operators.report import chart_series, summary_stats
+from ledgerline.operators.decode import CHAIN_ORDER, accepted_and_rejected, decode_logs
+from ledgerline.operators.report import chart_series, loaded_assets, summary_stats
 from ledgerline.operators.rollups import DAILY_KEYS, ledger_stats, overall_stats
-from ledgerline.operators.totals import chunk_counts, transfers_per_asset, with_labels
-from ledgerline.schemas import DAILY
+from ledgerline.operators.totals import block_coverage, chunk_counts, transfers_per_asset, with_labels
+from ledgerline.schemas import DAILY, REJECTS, TRANSFERS
 from ledgerline.sinks.csv_export import export_daily_csv, export_transfers_csv
 from ledgerline.sinks.tables import (
     clear_assets,
+    remove_folder,
+    replace_asset,
     write_daily,
     write_series,
-    write_transfers,
 )
 from ledgerline.sources.daily_csv import daily_csv_files, read_daily_csv
 from ledgerline.sources.registry import CONTRACTS, select_tokens, token_registry
@@ -58,6 +60,11 @@ class Ledger:
             F.col("asset").isin(*self.assets)
         )
 
+    def rejects(self) -> DataFrame:
+        """Logs of the selected assets that could not be decoded, with the reason."""
+        stored = self.spark.read.schema(REJECTS).parquet(self.rejects_path)
+        return stored.where(F.col("asset").isin(*self.assets))
+
     def daily(self) -> DataFrame:
         stored = self.spark.read.schema(DAILY).parquet(self.daily_path)
         return stored.where(F.col("asset").isin(*self.assets)).orderBy(*DAILY_KEYS)
@@ -73,6 +80,16 @@ class Ledger:
     ) -> DataFrame:
         return chunk_counts(self.transfers(), start, end, chunk_blocks)
 
+    def block_coverage(
+        self,
+        headers: DataFrame,
+        start: int = START_BLOCK,
+        end: int = END_BLOCK,
+        chunk_blocks: int = CHUNK_BLOCKS,
+    ) -> DataFrame:
+        """Blocks asked for and blocks present, per chunk of the range."""
+        return block_coverage(self.spark, headers, start, end, chunk_blocks)
+
     def export_csv(self, folder: str) -> None:
         export_transfers_csv(self.spark, self.transfers_path, folder, self.assets)
         export_daily_csv(self.spark, self.daily_path, folder, self.assets)
@@ -89,26 +106,33 @@ def extract(
 ) -> Ledger:
     """Decodes landed blocks into ``root`` and computes their daily statistics.
 
-    What the selected assets had there before is removed first, other assets
-    are not touched. Logs that cannot be decoded are counted while the
-    transfers are written; only if there are any is a second pass made that
-    stores them with their reason below ``root/rejects``.
+    One pass decodes the blocks into a staged table of transfers and rejects;
+    from there, asset by asset, transfers, rejects (with their reason, below
+    ``root/rejects``) and daily statistics take the place of what the selected
+    assets had. Other assets are not touched, nothing is replaced before the
+    pass has succeeded, and an asset without rows ends up with none. The staged
+    table is removed at the end.
     """
     spark = receipts.sparkSession
     chosen = tuple(row[0] for row in select_tokens(assets, tokens))
     ledger = Ledger(spark, root, token_registry(spark, chosen, tokens), chosen)
-    clear_assets(spark, ledger.transfers_path, chosen)
-    clear_assets(spark, ledger.daily_path, chosen)
-
-    seen = Observation("decode")
     decoded = decode_logs(receipts, ledger.registry, headers)
-    counted = decoded.observe(
-        seen, F.count_if(F.col("reject_reason").isNotNull()).alias("rejected")
-    )
-    write_transfers(accepted(counted, contracts, zone), ledger.transfers_path)
-    if seen.get["rejected"]:
-        rejected(decoded).write.mode("overwrite").parquet(ledger.rejects_path)
-    write_daily(ledger_stats(ledger.transfers(), DAILY_KEYS), ledger.daily_path)
+    folder = f"{root}/staged-{uuid.uuid4().hex}"
+    both = accepted_and_rejected(decoded, contracts, zone)
+    both.write.partitionBy("asset").parquet(folder)
+    staged = spark.read.schema(both.schema).parquet(folder)
+    good = staged.where(F.col("reject_reason").isNull())
+    bad = staged.where(F.col("reject_reason").isNotNull())
+    for asset in chosen:
+        of_asset = F.col("asset") == asset
+        transfers = good.where(of_asset).select(*TRANSFERS.fieldNames()).drop("asset")
+        replace_asset(transfers, ledger.transfers_path, asset, CHAIN_ORDER)
+        rejects = bad.where(of_asset).select("date", *REJECTS.fieldNames()).drop("asset")
+        replace_asset(rejects, ledger.rejects_path, asset, CHAIN_ORDER)
+    daily = ledger_stats(ledger.transfers(), DAILY_KEYS)
+    clear_assets(spark, ledger.daily_path, chosen)
+    write_daily(daily, ledger.daily_path)
+    remove_folder(spark, folder)
     return ledger
 
 
@@ -119,6 +143,7 @@ class Report:
     series: DataFrame
     summary: DataFrame
     files: DataFrame
+    loaded: DataFrame
 
     def write(self, folder: str) -> None:
         """Series by metric, summary and file verdicts as Parquet below ``folder``."""
@@ -134,6 +159,7 @@ def report(spark: SparkSession, daily_files: str | list[str]) -> Report:
         series=chart_series(daily).orderBy("metric", "asset", "date"),
         summary=summary_stats(daily).orderBy("asset"),
         files=daily_csv_files(spark, daily_files),
+        loaded=loaded_assets(daily),
     )
 
 

@@ -55,10 +55,11 @@ def _stats(keys: str, ledger: str = "ledger") -> str:
     columns = ", ".join(f"s.{k}" for k in keys.split(", "))
     return f"""
 SELECT {columns}, total_volume, transaction_count, transfer_count,
-       total_volume / transfer_count AS avg_transfer_size, different_addresses,
+       avg_transfer_size, different_addresses,
        defi_transaction_count, rollup_transaction_count
 FROM (
   SELECT {keys}, round(SUM(amount), 2) AS total_volume,
+         round(SUM(amount) / COUNT(*), 2) AS avg_transfer_size,
          COUNT(DISTINCT tx) AS transaction_count, COUNT(*) AS transfer_count,
          COUNT(DISTINCT tx) FILTER (WHERE is_defi_transaction) AS defi_transaction_count,
          COUNT(DISTINCT tx) FILTER (WHERE is_rollup_transaction) AS rollup_transaction_count
@@ -118,6 +119,30 @@ SELECT block_number, CAST(2 AS INTEGER) AS tx_pos, CAST(1 AS INTEGER) AS log_pos
        {_hash("tx")} AS tx_hash, asset, {_address("f")} AS "from", {_address("t")} AS "to",
        '0xnothex' AS data, 'amount is not hexadecimal' AS reject_reason
 FROM ledger WHERE {_TWO_PARTIES} AND {_REGISTERED} AND NOT ({_HEX})""",
+    "decode_wide_amounts": """
+WITH e AS (
+  SELECT event_id, user_id + 1 AS n, event_id % 51 AS k,
+         CASE WHEN event_id % 2 = 0 THEN 6 ELSE 18 END AS decimals
+  FROM events
+), d AS (SELECT *, length(to_hex(n)) + k AS digits FROM e)
+SELECT event_id,
+       CASE WHEN digits <= 30 THEN CAST(CAST(n AS HUGEINT)
+         * CAST(pow(16::DOUBLE, least(k, 24)) AS HUGEINT)
+         * CAST(pow(16::DOUBLE, CASE WHEN digits <= 30 THEN greatest(k - 24, 0) ELSE 0 END)
+           AS HUGEINT) AS VARCHAR) END AS amount_raw,
+       CASE WHEN digits > 30 THEN lower(to_hex(n)) || repeat('0', k) END AS amount_hex,
+       n * pow(16::DOUBLE, k) / pow(10::DOUBLE, decimals) AS amount
+FROM d""",
+    "extract_job": f"""
+WITH {_EVENTS}, tokens(asset, address, decimals, symbol) AS ({_TOKENS}),
+good AS (SELECT * FROM ledger WHERE {_DECODED}),
+bad AS (SELECT * FROM ledger WHERE {_TWO_PARTIES} AND {_REGISTERED} AND NOT ({_HEX}))
+SELECT k.asset,
+       (SELECT COUNT(DISTINCT "date") FROM good g WHERE g.asset = k.asset) AS days,
+       (SELECT COUNT(*) FROM good g WHERE g.asset = k.asset) AS transfers,
+       (SELECT round(SUM(amount), 2) FROM good g WHERE g.asset = k.asset) AS volume,
+       (SELECT COUNT(*) FROM bad b WHERE b.asset = k.asset) AS rejects
+FROM tokens k""",
     "block_hex_keys": f"""
 WITH {_EVENTS}
 SELECT DISTINCT block_number, '0x' || lower(to_hex(block_number)) AS block_key FROM ledger""",
@@ -172,7 +197,7 @@ FROM ledger SEMI JOIN (SELECT s_suppkey FROM dim WHERE defi) d ON f = s_suppkey"
     "daily_volume": f"""
 WITH {_EVENTS}
 SELECT asset, "date", round(SUM(amount), 2) AS total_volume, COUNT(*) AS transfer_count,
-       round(SUM(amount), 2) / COUNT(*) AS avg_transfer_size
+       round(SUM(amount) / COUNT(*), 2) AS avg_transfer_size
 FROM ledger GROUP BY asset, "date" """,
     "daily_transactions": f"""
 WITH {_EVENTS}
@@ -206,21 +231,23 @@ SELECT k.asset, symbol, COUNT(l.event_id) AS transfer_count
 FROM tokens k LEFT JOIN ledger l ON k.asset = l.asset GROUP BY k.asset, symbol""",
     "chunk_counts": f"""
 WITH {_EVENTS}
-SELECT (block_number - 78892) // 50 AS chunk_id,
-       78892 + (block_number - 78892) // 50 * 50 AS first_block,
-       least(78892 + (block_number - 78892) // 50 * 50 + 49, 79011) AS last_block,
+SELECT (block_number - lo) // 50 AS chunk_id,
+       lo + (block_number - lo) // 50 * 50 AS first_block,
+       least(lo + (block_number - lo) // 50 * 50 + 49, hi) AS last_block,
        asset, COUNT(*) AS transfer_count
-FROM ledger WHERE block_number BETWEEN 78892 AND 79011 GROUP BY ALL""",
+FROM ledger, (SELECT min(block_number) AS lo, max(block_number) AS hi FROM ev) GROUP BY ALL""",
     "block_coverage": f"""
 WITH {_EVENTS},
-spine AS (SELECT unnest(range(78892, 79012)) AS block_number),
+spine AS (SELECT lo, unnest(range(lo, hi + 1)) AS block_number
+  FROM (SELECT min(block_number) AS lo, max(block_number) AS hi FROM ev)),
 present AS (SELECT DISTINCT block_number FROM ledger WHERE {_TIMED})
-SELECT (s.block_number - 78892) // 50 AS chunk_id, COUNT(*) AS blocks_processed,
+SELECT (s.block_number - lo) // 50 AS chunk_id, COUNT(*) AS blocks_processed,
        COUNT(p.block_number) AS blocks_present
 FROM spine s LEFT JOIN present p ON s.block_number = p.block_number GROUP BY ALL""",
     "missing_blocks": f"""
 WITH {_EVENTS},
-spine AS (SELECT unnest(range(78892, 79012)) AS block_number)
+spine AS (SELECT unnest(range(lo, hi + 1)) AS block_number
+  FROM (SELECT min(block_number) AS lo, max(block_number) AS hi FROM ev))
 SELECT block_number FROM spine
 WHERE block_number NOT IN (SELECT block_number FROM ledger WHERE {_TIMED})""",
     "summary_stats": f"""

@@ -62,6 +62,7 @@ TRANSFERS = T.StructType(
     TRANSFERS_CSV.fields
     + [
         T.StructField("amount_raw", T.DecimalType(38, 0)),
+        T.StructField("amount_hex", T.StringType()),
         T.StructField("tx_pos", T.IntegerType()),
         T.StructField("log_pos", T.IntegerType()),
         T.StructField("asset", T.StringType()),
@@ -69,6 +70,20 @@ TRANSFERS = T.StructType(
     ]
 )
 
+REJECTS = T.StructType(
+    [
+        T.StructField("block_number", T.LongType()),
+        T.StructField("tx_pos", T.IntegerType()),
+        T.StructField("log_pos", T.IntegerType()),
+        T.StructField("tx_hash", T.StringType()),
+        T.StructField("asset", T.StringType()),
+        T.StructField("from", T.StringType()),
+        T.StructField("to", T.StringType()),
+        T.StructField("data", T.StringType()),
+        T.StructField("reject_reason", T.StringType()),
+    ]
+)
+
 DAILY = T.StructType(
     [
         T.StructField("asset", T.StringType()),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions import money_text
 from ledgerline.operators.decode import in_chain_order
 from ledgerline.schemas import DAILY, TRANSFERS_CSV
+from ledgerline.sinks.tables import remove_folder
 from ledgerline.sources.transfers import read_transfers
 
 
@@ -27,12 +28,14 @@ def export_transfers_csv(
 ) -> None:
     """One folder per asset; part files follow each other in chain order.
 
-    An asset without transfers gets no folder.
+    An asset without transfers gets no folder, and one from an earlier export
+    is removed.
     """
     stored = read_transfers(spark, transfers_path)
     for asset in assets:
         rows = stored.where(F.col("asset") == asset)
         if rows.isEmpty():
+            remove_folder(spark, f"{folder}/{asset}_transfers.csv")
             continue
         columns = [
             _true_false(n) if n.startswith("is_") else F.col(n)
@@ -64,6 +67,7 @@ def export_daily_csv(
     for asset in assets:
         rows = daily_export_view(stored, asset)
         if rows.isEmpty():
+            remove_folder(spark, f"{folder}/{asset}_daily_stats.csv")
             continue
         _write(rows.coalesce(1).sortWithinPartitions("date"), f"{folder}/{asset}_daily_stats.csv")
 

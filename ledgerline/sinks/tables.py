@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +56,27 @@ def clear_assets(spark: SparkSession, path: str, assets: Iterable[str]) -> None:
         )
 
 
+def replace_asset(rows: DataFrame, path: str, asset: str, order: Sequence[str]) -> None:
+    """Puts ``rows`` (without the asset column) in place of all that an asset had.
+
+    By date, like ``write_transfers``; other assets are not touched. Rows must come from
+    another folder.
+    """
+    ordered = rows.hint("rebalance", "date").sortWithinPartitions("date", *order)
+    (
+        ordered.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("date")
+        .parquet(f"{path}/asset={asset}")
+    )
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in whatever store its path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _write(frame: DataFrame, path: str, mode: str, partitions: tuple[str, ...]) -> None:
     (
         frame.write.mode(mode)

@@ -57,6 +57,23 @@ def test_amount_decoding(spark, decimals):
             assert abs(row.amount - expected) <= expected * 2**-52
 
 
+def test_only_amounts_too_large_for_a_double_are_refused(spark):
+    rows = [("0x" + "0" * 255 + "5", 6, False), ("0x" + "0" * 999 + "ff", 18, False),
+            ("0x" + "f" * 255, 6, False), ("0x" + "f" * 255, 0, False),
+            ("0x1" + "0" * 256, 18, False), ("0x1" + "0" * 256, 0, True),
+            ("0x" + "f" * 300, 6, True), ("0x1" + "0" * 600, 18, True)]
+    frame = spark.createDataFrame(rows, "data string, decimals int, large boolean")
+    digits = L.significant_digits(F.col("data"))
+    got = decode_amounts(frame.withColumn("refused", L.exceeds_double(digits, F.col("decimals"))))
+    for row in got.collect():
+        number = int(row.data, 16)
+        assert row.refused == row.large
+        if not row.large:
+            want = number / 10**row.decimals
+            assert abs(row.amount - want) <= want * 2**-52
+            assert int(row.amount_hex, 16) == number if row.amount_raw is None else row.amount_raw == number
+
+
 @pytest.mark.parametrize("text", ["0xzz", "", "0x 1", "-0x1", None])
 def test_bad_hex_has_no_digits(spark, text):
     [row] = values(spark, [(text,)], "t string", d=L.hex_digits(F.col("t")))
@@ -84,7 +101,9 @@ def test_text_date(spark):
 def test_money_text_matches_exact_binary_rounding(spark):
     rng = random.Random(11)
     numbers = [0.0, 0.125, 0.375, 2.675, 5.125, 1.005, 0.995, 0.996, 99.999,
-               1180591620717411.25, 2.0**52 + 0.5, 1e15 + 0.125, -2.675, -0.125]
+               1180591620717411.25, 2.0**52 + 0.5, 1e15 + 0.125, -2.675, -0.125,
+               2.0**63, -(2.0**63), 2.0**63 - 1024, 1e19, 1.5e20, 1e22, 1e23, 2.0**1023, 1.7e308]
+    numbers += [rng.random() * 10 ** rng.randint(18, 300) for _ in range(200)]
     numbers += [rng.random() * 10 ** rng.randint(0, 14) for _ in range(1000)]
     numbers += [rng.randrange(10**7) / 200 for _ in range(1000)]
     got = values(spark, [(x,) for x in numbers], "x double", t=L.money_text(F.col("x")))

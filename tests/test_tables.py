@@ -130,16 +130,53 @@ def test_extract_replaces_selected_assets_only(spark, tmp_path):
     ]
     daily = spark.read.parquet(made.daily_path)
     assert sorted(r.asset for r in daily.collect()) == ["eurc", "usdc", "usdt"]
-    rejects = spark.read.parquet(made.rejects_path).collect()
+    rejects = made.rejects().collect()
     assert [(r.tx_hash, r.data) for r in rejects] == [("M", "0xzz")]
 
 
+USDT = golden.TOKEN["usdt"].lower()
+
+
+def landed(spark, tmp_path, name, *receipts):
+    record = {"block_number": 22800000, "timestamp": "0x68500000", "receipts": list(receipts)}
+    return read_blocks(spark, golden.land(tmp_path, name, [record]))
+
+
+def test_extract_of_ranges_without_transfers(spark, tmp_path):
+    bad = golden.receipt("M", golden.transfer(golden.USDC, golden.X, golden.Y, "0xzz"))
+    good = golden.receipt("N", golden.transfer(USDT, golden.X, golden.Y, "0x5b8d80"))
+    other = golden.receipt("O", golden.transfer("0x" + "9" * 40, golden.X, golden.Y, "0x1"))
+    root = str(tmp_path / "ledger")
+    made = jobs.extract(landed(spark, tmp_path, "good", good), root)
+    made.export_csv(str(tmp_path / "csv"))
+    assert (tmp_path / "csv" / "usdt_daily_stats.csv").exists()
+    for name, receipts, rejects in (("bad", [bad], ["M"]), ("other", [other], []), ("none", [], [])):
+        made = jobs.extract(landed(spark, tmp_path, name, *receipts), root)
+        assert made.transfers().isEmpty() and made.daily().isEmpty()
+        assert [r.tx_hash for r in made.rejects().collect()] == rejects
+    made.export_csv(str(tmp_path / "csv"))
+    assert not (tmp_path / "csv" / "usdt_daily_stats.csv").exists()
+    assert not (tmp_path / "csv" / "usdt_transfers.csv").exists()
+    assert not list((tmp_path / "ledger").glob("staged-*"))
+
+
+def test_extract_keeps_rejects_of_other_assets(spark, tmp_path):
+    usdc, usdt = (golden.receipt(n, golden.transfer(t, golden.X, golden.Y, "0xzz"))
+                  for n, t in (("C", golden.USDC), ("T", USDT)))
+    root = str(tmp_path / "ledger")
+    jobs.extract(landed(spark, tmp_path, "both", usdc, usdt), root)
+    made = jobs.extract(landed(spark, tmp_path, "again"), root, assets=["usdc"])
+    assert made.rejects().isEmpty()
+    every = jobs.Ledger(spark, root, made.registry, ("usdc", "usdt"))
+    assert [r.tx_hash for r in every.rejects().collect()] == ["T"]
+
+
 def shaped(spark, rows):
     return spark.createDataFrame(rows, TRANSFERS)
 
 
 def make_row(asset, day, i):
-    return (i, i * 12, f"t{i}", golden.X, golden.Y, 1.0, False, False, None, 0, i, asset, day)
+    return (i, i * 12, f"t{i}", golden.X, golden.Y, 1.0, False, False, None, None, 0, i, asset, day)
 
 
 def test_overwrite_keeps_other_partitions_and_append_adds(spark, tmp_path):

@@ -9,6 +9,7 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as driver  # noqa: E402
+from ledgerline.plans import catalog  # noqa: E402
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -53,7 +54,7 @@ if __name__ == "__main__":
     from pyspark.sql import SparkSession
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
-    names = sys.argv[2:] or list(driver.queries())
+    names = sys.argv[2:] or list(driver.oracle_sql())
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")

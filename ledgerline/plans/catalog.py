@@ -14,10 +14,17 @@ from ledgerline.schemas import TRANSFERS
 from ledgerline.session import working_folder
 from ledgerline.sinks.csv_export import daily_export_view, export_daily_csv, export_transfers_csv
 from ledgerline.sinks.tables import write_daily, write_transfers
+from ledgerline.sources.chain import corrupt_records, read_blocks, read_headers
 from ledgerline.sources.daily_csv import daily_csv_files, read_daily_csv
 from ledgerline.sources.registry import protocol_dimension, token_registry
 from ledgerline.sources.transfers import count_transfers_csv, read_transfers_csv
-from ledgerline.streaming.incremental import LedgerTables, run_incremental, stored_daily
+from ledgerline.streaming.incremental import (
+    LedgerTables,
+    apply_batch,
+    run_incremental,
+    stored_daily,
+    stored_rejects,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -369,12 +376,68 @@ def incremental_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(stored_daily(spark, tables))
 
 
+def _landed_blocks(spark: SparkSession, sf_dir: str) -> str:
+    """Blocks as lines of JSON; of every fifty one is cut off, one has a block number as text,
+    and one a null receipt list."""
+    folder = working_folder(spark, "landed")
+    case = F.col("event_id") % 50
+    blocks = standin.raw_blocks(spark, sf_dir)
+    receipts = F.when(case != 9, F.col("receipts")).alias("receipts")
+    options = {"ignoreNullFields": "false"}
+    whole = F.to_json(F.struct("block_number", "timestamp", receipts), options)
+    number = block_key(F.col("block_number")).alias("block_number")
+    as_text = F.to_json(F.struct(number, "timestamp", receipts), options)
+    line = F.when(case == 7, F.left(whole, F.lit(30))).when(case == 8, as_text).otherwise(whole)
+    blocks.select(line.alias("value")).write.text(folder)
+    return folder
+
+
+def landed_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_blocks(spark, _landed_blocks(spark, sf_dir))
+    return rows.select("block_number", "timestamp", F.size("receipts").alias("receipts")).withColumn(
+        "receipts", F.when(F.col("receipts") >= 0, F.col("receipts"))
+    )
+
+
+def landed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_headers(spark, _landed_blocks(spark, sf_dir))
+    return rows.groupBy("block_number").agg(
+        F.count("*").alias("records"), F.min("timestamp").alias("timestamp")
+    )
+
+
+def corrupt_landed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = corrupt_records(spark, _landed_blocks(spark, sf_dir))
+    return found.groupBy(F.left("record", F.lit(30)).alias("begins"), "reason").agg(
+        F.count("*").alias("records")
+    )
+
+
+def incremental_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Undecoded blocks in two batches with bad logs, the first of which comes twice."""
+    folder = working_folder(spark, "incremental-raw")
+    blocks = standin.raw_blocks(spark, sf_dir)
+    tables, registry = LedgerTables(f"{folder}/ledger"), _registry(spark)
+    even = F.col("event_id") % 2 == 0
+    for batch_id, batch in ((0, even), (1, ~even), (0, even)):
+        logs = decode.decode_logs(blocks.where(batch).drop("event_id"), registry)
+        apply_batch(decode.accepted_and_rejected(logs, standin.contracts()), batch_id, tables)
+    daily = stored_daily(spark, tables).groupBy("asset").agg(
+        F.count("*").alias("days"), F.sum("transfer_count").alias("transfers")
+    )
+    rejects = stored_rejects(spark, tables).groupBy("asset").agg(F.count("*").alias("rejects"))
+    return daily.join(rejects, "asset", "full")
+
+
 QUERIES: dict[str, Query] = {
     "decode_transfers": decode_transfers,
     "decode_with_headers": decode_with_headers,
     "rejected_logs": rejected_logs,
     "decode_wide_amounts": decode_wide_amounts,
     "extract_job": extract_job,
+    "landed_blocks": landed_blocks,
+    "landed_headers": landed_headers,
+    "corrupt_records": corrupt_landed_records,
     "block_hex_keys": block_hex_keys,
     "event_filter": event_filter,
     "asset_attribution": asset_attribution,
@@ -408,4 +471,5 @@ QUERIES: dict[str, Query] = {
     "optional_columns": optional_columns,
     "skipped_files": skipped_files,
     "incremental_daily": incremental_daily,
+    "incremental_raw": incremental_raw,
 }

@@ -142,6 +142,28 @@ SELECT k.asset,
        (SELECT round(SUM(amount), 2) FROM good g WHERE g.asset = k.asset) AS volume,
        (SELECT COUNT(*) FROM bad b WHERE b.asset = k.asset) AS rejects
 FROM tokens k""",
+    "landed_blocks": f"""
+WITH {_EVENTS}
+SELECT block_number, '0x' || lower(to_hex("timestamp")) AS "timestamp",
+       CASE WHEN event_id % 50 <> 9 THEN CAST(3 AS INTEGER) END AS receipts
+FROM ledger WHERE event_id % 50 NOT IN (7, 8)""",
+    "landed_headers": f"""
+WITH {_EVENTS}
+SELECT block_number, COUNT(*) AS records, '0x' || lower(to_hex("timestamp")) AS "timestamp"
+FROM ledger WHERE event_id % 50 NOT IN (7, 8) GROUP BY ALL""",
+    "corrupt_records": f"""
+WITH {_EVENTS}
+SELECT left(CASE WHEN event_id % 50 = 7 THEN '{{"block_number":' || block_number
+         ELSE '{{"block_number":"0x' || lower(to_hex(block_number)) || '"' END
+         || ',"timestamp":"0x', 30) AS begins,
+       CASE WHEN event_id % 50 = 7 THEN 'not JSON' ELSE 'a value of another type' END AS reason,
+       COUNT(*) AS records
+FROM ledger WHERE event_id % 50 IN (7, 8) GROUP BY ALL""",
+    "incremental_raw": f"""
+WITH {_EVENTS}
+SELECT asset, COUNT(DISTINCT "date") FILTER (WHERE {_HEX}) AS days,
+       COUNT(*) FILTER (WHERE {_HEX}) AS transfers, COUNT(*) FILTER (WHERE NOT ({_HEX})) AS rejects
+FROM ledger WHERE {_TWO_PARTIES} AND {_REGISTERED} GROUP BY asset""",
     "block_hex_keys": f"""
 WITH {_EVENTS}
 SELECT DISTINCT block_number, '0x' || lower(to_hex(block_number)) AS block_key FROM ledger""",

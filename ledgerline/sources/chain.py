@@ -15,11 +15,37 @@ from pyspark.sql import types as T
 
 from ledgerline.schemas import BLOCKS, HEADERS, RECEIPTS
 
+_CORRUPT = "_corrupt_record"
+
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, form: str) -> DataFrame:
     if form not in ("json", "parquet"):
         raise ValueError(f"unknown format: {form}")
-    return spark.read.schema(schema).format(form).load(path)
+    if form == "parquet":
+        return spark.read.schema(schema).parquet(path)
+    return _read_json(spark, path, schema).where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
+
+
+def _read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    with_text = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    return spark.read.schema(with_text).option("columnNameOfCorruptRecord", _CORRUPT).json(path)
+
+
+def corrupt_records(spark: SparkSession, path: str, schema: T.StructType = BLOCKS) -> DataFrame:
+    """Landed JSON records that the readers leave out: file, record and reason.
+
+    Broken JSON, and records with a value of another type than the schema's (such as a block
+    number as text). ``schema`` is that of the reader the files are for.
+    """
+    rows = _read_json(spark, path, schema)
+    # all columns are read, as a value is only checked where its column is
+    every = F.xxhash64(*schema.fieldNames()) >= F.lit(-(2**63))
+    parsed = F.try_parse_json(_CORRUPT).isNotNull()
+    reason = F.when(parsed, "a value of another type").otherwise("not JSON")
+    return rows.where(F.col(_CORRUPT).isNotNull() & every).select(
+        F.col("_metadata.file_path").alias("file"), F.col(_CORRUPT).alias("record"),
+        reason.alias("reason"),
+    )
 
 
 def _in_range(frame: DataFrame, start: int | None, end: int | None) -> DataFrame:

@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.operators.decode import CHAIN_ORDER
 from ledgerline.operators.rollups import count_partials, key_partials, merge_partials
-from ledgerline.schemas import DAILY, TRANSFERS
-from ledgerline.sinks.tables import write_daily
+from ledgerline.schemas import DAILY, REJECTS, TRANSFERS
+from ledgerline.sinks.tables import remove_folder, write_daily
 
 PARTIALS = T.StructType(
     [
@@ -59,6 +60,10 @@ class LedgerTables:
     def daily(self) -> str:
         return f"{self.root}/daily"
 
+    @property
+    def rejects(self) -> str:
+        return f"{self.root}/rejects"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoint"
@@ -68,6 +73,12 @@ def stored_transfers(spark: SparkSession, tables: LedgerTables) -> DataFrame:
     return spark.read.schema(_STORED_TRANSFERS).parquet(tables.transfers)
 
 
+def stored_rejects(spark: SparkSession, tables: LedgerTables) -> DataFrame:
+    """Logs of all batches that could not be decoded, with their reason and batch."""
+    schema = T.StructType([*REJECTS.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(schema).parquet(tables.rejects)
+
+
 def stored_daily(spark: SparkSession, tables: LedgerTables) -> DataFrame:
     return spark.read.schema(DAILY).parquet(tables.daily)
 
@@ -77,7 +88,8 @@ def _replace(frame: DataFrame, path: str) -> None:
 
     A date with very many rows is cut into several files by the rebalance.
     """
-    rows = frame.hint("rebalance", "date").sortWithinPartitions("date", "batch_id", "asset")
+    order = ["date", "batch_id", "asset"] + [c for c in CHAIN_ORDER if c in frame.columns]
+    rows = frame.hint("rebalance", "date").sortWithinPartitions(*order)
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -97,7 +109,9 @@ def _read_below(
 def apply_batch(transfers: DataFrame, batch_id: int, tables: LedgerTables) -> None:
     """Stores one batch and brings the daily table up to date.
 
-    The batch is decoded once: its partials come from the stored transfers.
+    The batch is decoded once: its partials come from the stored transfers. Rows with a
+    ``reject_reason`` (see ``accepted_and_rejected``) are stored as rejects of the batch;
+    such a batch is staged first, so that both come from one pass.
     Then the partials of the touched dates, and of no others, are merged. The
     dates are the only thing that reaches the driver, one value per calendar
     day. How often a day is merged depends on how many batches touch it, so a
@@ -105,6 +119,18 @@ def apply_batch(transfers: DataFrame, batch_id: int, tables: LedgerTables) -> No
     """
     spark = transfers.sparkSession
     number = F.lit(batch_id).cast("long")
+    if "reject_reason" in transfers.columns:
+        staged = f"{tables.root}/staged/batch_id={batch_id}"
+        transfers.write.mode("overwrite").parquet(staged)
+        both = spark.read.schema(transfers.schema).parquet(staged)
+        rejects = both.where(F.col("reject_reason").isNotNull()).select(*REJECTS.fieldNames())
+        rejects.sortWithinPartitions("asset", *CHAIN_ORDER).write.mode("overwrite").parquet(
+            f"{tables.rejects}/batch_id={batch_id}"
+        )
+        good = both.where(F.col("reject_reason").isNull()).select(*TRANSFERS.fieldNames())
+        apply_batch(good, batch_id, tables)
+        remove_folder(spark, staged)
+        return
     _replace(transfers.withColumn("batch_id", number), tables.transfers)
     own = f"date=*/batch_id={batch_id}"
     try:

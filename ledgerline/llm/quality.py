@@ -134,7 +134,7 @@ class NearestVote:
         k = min(self.nearest, cosine.shape[1])
         least = -np.partition(-cosine, k - 1, axis=1)[:, k - 1 : k]
         vote = np.where(cosine >= least, np.maximum(cosine, 1e-3) ** self.power, 0) * self.weight
-        return ((vote @ self.y) / vote.sum(1)).astype(np.float64)
+        return np.clip((vote @ self.y) / vote.sum(1), 0, 1).astype(np.float64)
 
 
 def fit_quality(

@@ -23,6 +23,7 @@ same way. Repeated rows stay repeated, and no column but ``text`` or ``ids`` is
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,7 @@ from ledgerline.llm.bpe_pairs import PairRule, Remembered
 from ledgerline.llm.textwords import BASE, mixed, slices
 
 MARK = 0x2581
+codecs.register_error("each_byte", lambda e: ("\ufffd" * (e.end - e.start), e.end))
 SLICE = 2 << 20
 _INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -226,7 +228,7 @@ class Encoder:
 
     def decode(self, ids: np.ndarray) -> str:
         output = self.table.output
-        text = b"".join([output[i] for i in ids.tolist()]).decode("utf-8", "replace")
+        text = b"".join([output[i] for i in ids.tolist()]).decode("utf-8", "each_byte")
         text = text.replace(chr(MARK), " ")
         return text[1:] if text.startswith(" ") else text
 

@@ -12,7 +12,7 @@ more than a fiftieth of what is wanted are sampled first, the others then make u
 missing, so that one long document does not decide how near a source comes.
 
 The place where a source's ranks are cut off is found by radix selection: sums by rank digit,
-65,536 of them for each source, then within one digit. No task ever holds a source's documents,
+4,096 of them for each source, then within one digit. No task ever holds a source's documents,
 whatever its share, and texts are read once.
 
 Defined cases: a null text has size 0, and a size of 0 is taken 0 times whatever its copies.
@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 from ledgerline.llm.worktables import WorkTables
 
 WORD = r"[^\x20\x09-\x0D]+"
-DIGIT = 1 << 16
+# ranks have two digits of 12 bits; what shares both is told apart by the draw itself
+DIGIT = 1 << 12
+RANKS = DIGIT * DIGIT
 LARGE = 50
 
 
@@ -108,7 +110,7 @@ def _cutoff(rows: DataFrame, budgets: DataFrame, work: WorkTables, name: str) ->
         F.sum("size").alias("words")
     )
     second = work.store(_first_above(low, "cut"), f"{name}-low")
-    # what shares one of 2^32 ranks with the cut
+    # what shares its rank with the cut
     ties = rows.join(second, "number").where(F.col("rank") == F.col("cut"))
     peers = ties.groupBy("number", "cut", "budget", "base", "u", "id").agg(F.sum("size").alias("words"))
     running = F.sum("words").over(Window.partitionBy("number").orderBy("u", "id"))
@@ -169,11 +171,11 @@ def mix_sources(
     joined = sized.join(planned, F.col("source").eqNullSafe(F.col("its_source"))).drop("its_source")
     u, p = draw(F.col("doc_id")), F.col("odds_of")
     odds = (F.col("u") / (1 - F.col("u"))) / (p / (1 - p))
-    # ascending with the odds, in 32 bits
-    rank = F.floor(F.when(p > 0, odds / (1 + odds)).otherwise(F.col("u")) * F.lit(float(1 << 32)))
+    # ascending with the odds
+    rank = F.floor(F.when(p > 0, odds / (1 + odds)).otherwise(F.col("u")) * F.lit(float(RANKS)))
     rows = work.store(
         joined.withColumn("u", u)
-        .withColumn("rank", F.least(rank.cast("long"), F.lit((1 << 32) - 1)))
+        .withColumn("rank", F.least(rank.cast("long"), F.lit(RANKS - 1)))
         .withColumn("large", F.col("size") * LARGE > F.col("wanted"))
         .withColumn("id", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))),
         "ranked",

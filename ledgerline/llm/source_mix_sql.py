@@ -30,7 +30,7 @@ WITH sized AS (
     d.size * 50 > t.wanted AS large
   FROM sized d JOIN planned t ON d.source IS NOT DISTINCT FROM t.source
 ), ranked AS (
-  SELECT *, floor(CASE WHEN p > 0 THEN o / (1 + o) ELSE u END * 4294967296::DOUBLE)::BIGINT AS rank,
+  SELECT *, floor(CASE WHEN p > 0 THEN o / (1 + o) ELSE u END * 16777216::DOUBLE)::BIGINT AS rank,
     p > 0 AND size > 0 AS sampled
   FROM (SELECT *, (u / (1 - u)) / (CASE WHEN p > 0 THEN p / (1 - p) END) AS o FROM drawn)
 ), summed AS (

@@ -7,18 +7,21 @@ of the link graph it is in; no list of pairs is made.
 
 How it runs:
 
-1. One pass over the texts gives each set's size, signature, group counts and *routing keys*:
-   any two linked sets have a routing key in common (the smallest ``a - ceil(t*a) + 1`` of
-   ``a`` shingles in one fixed order). Sets with the same signature are folded to one.
-2. Keys that very many sets have are moved to the end of that order and the routing keys of
-   the sets concerned are taken again, so that passages shared by many texts route nothing.
+1. A pass over the texts gives each set's size and signature; sets with the same signature are
+   folded to one. A further pass gives *routing keys*: any two linked sets have one in common
+   (the smallest ``a - ceil(t*a) + 1`` of ``a`` shingles in one fixed order). Keys that very
+   many sets have come last in that order, so that passages shared by many texts hardly route.
    A key that still gathers many sets is dealt out as pairs of blocks.
-3. The sets under a key are packed into an R-tree over their group counts. Searching it by
-   the sum of smaller counts, a bound on the overlap, leaves the candidate links, of which a
-   spanning forest is kept.
-4. Components of the candidates bring together what could be linked; only there whole shingle
+2. Sets under a key that no other set of like size has are let go. The others get their point: the counts of
+   their shingles by hash group, with more groups the larger the set. The points under a key
+   are packed into an R-tree. Searching it by the sum of smaller counts, a bound on the
+   overlap, leaves the candidate links, of which a spanning forest is kept.
+3. Components of the candidates bring together what could be linked; only there whole shingle
    sets meet, again in an R-tree, and the pairs that survive are verified exactly.
 
+Texts are read once for each pass instead of being moved; only keys, points and the sets of
+candidates are shuffled.
+
 Defined cases: a null or empty text, or one without words, has the empty set and is linked
 with nothing. Fewer words than a shingle's length make one shingle. Rows with the same doc_id
 are one vertex. A row without doc_id is a vertex of its own text; a component of such rows
@@ -39,37 +42,73 @@ from ledgerline.llm.rtree import spanning_links
 from ledgerline.llm.textwords import mixed, shingle_sets, slices
 from ledgerline.llm.worktables import WorkTables, wide
 
-GROUPS = 16
+# sets of at least so many shingles have so many groups
+CLASSES = ((0, 16), (128, 64), (1024, 256), (8192, 1024))
+MOST = CLASSES[-1][1]
 # sets under one key or in one component that are compared in one task
 BLOCK = 500
+# keys counted at a time when looking for common ones
+COUNTED = 1 << 21
+
 
-SCANNED = (
-    "vertex long, doc_id long, size int, sig_a long, sig_b long, counts binary, keys array<long>"
-)
+def _class_of(size: np.ndarray) -> np.ndarray:
+    return np.searchsorted([least for least, _ in CLASSES], size, "right") - 1
 
 
 def _group_counts(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Counts by the finest groups; coarser ones are sums of neighbours."""
     texts = len(bounds) - 1
     owner = np.repeat(np.arange(texts), np.diff(bounds))
-    group = (mixed(hashes ^ np.uint64(0x5DEECE66D)) >> np.uint64(60)).astype(np.int64)
-    return np.bincount(owner * GROUPS + group, minlength=texts * GROUPS).reshape(texts, GROUPS)
+    bits = np.uint64(64 - (MOST - 1).bit_length())
+    group = (mixed(hashes ^ np.uint64(0x5DEECE66D)) >> bits).astype(np.int64)
+    return np.bincount(owner * MOST + group, minlength=texts * MOST).reshape(texts, MOST)
 
 
-def _packed(counts: np.ndarray) -> list[bytes]:
-    """One byte a count where that is enough, else four."""
-    small = counts.max(1, initial=0) < 256
-    return [
-        row.astype(np.uint8 if s else np.uint32).tobytes() for row, s in zip(counts, small)
-    ]
+def _folded(counts: np.ndarray, groups: int) -> np.ndarray:
+    return counts.reshape(len(counts), groups, -1).sum(2)
 
 
-def _unpacked(packed: list[bytes]) -> np.ndarray:
-    out = np.empty((len(packed), GROUPS), np.int64)
-    for i, b in enumerate(packed):
-        out[i] = np.frombuffer(b, np.uint8 if len(b) == GROUPS else np.uint32)
+def _packed(counts: np.ndarray, size: np.ndarray, num: int, den: int) -> list[bytes]:
+    """Each row with the groups of the largest set it can be linked with."""
+    out = []
+    for row, kind in zip(counts, _class_of(size * den // num).tolist()):
+        row = _folded(row[None, :], CLASSES[kind][1])[0]
+        wide_row = row.max(initial=0) > 255
+        out.append(bytes([2 * kind + wide_row]) + row.astype(np.uint32 if wide_row else np.uint8).tobytes())
     return out
 
 
+def _points(packed: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The class of each packed row, and its counts."""
+    kinds = np.array([b[0] >> 1 for b in packed], np.int64)
+    rows = [
+        np.frombuffer(b, np.uint32 if b[0] & 1 else np.uint8, offset=1).astype(np.int64)
+        for b in packed
+    ]
+    return kinds, rows
+
+
+def _links_by_class(packed: list[bytes], num: int, den: int, linked=None) -> list[tuple[int, int]]:
+    """Spanning links of one group, class by class.
+
+    Two linked sets are both in the class of the larger one: the smaller has its groups too.
+    """
+    stored, rows = _points(packed)
+    sizes = np.array([int(r.sum()) for r in rows])
+    own = _class_of(sizes)
+    found: list[tuple[int, int]] = []
+    for kind in np.unique(np.concatenate([own, stored])).tolist():
+        here = np.flatnonzero((own == kind) | (stored == kind))
+        if len(here) < 2:
+            continue
+        points = np.stack([_folded(rows[k][None, :], CLASSES[kind][1])[0] for k in here])
+        verify = None if linked is None else (lambda a, others: linked(here[a], here[others]))
+        found.extend(
+            (int(here[a]), int(here[b])) for a, b in spanning_links(points, sizes[here], num, den, verify)
+        )
+    return found
+
+
 def _key_count(size: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.where(size > 0, size - -(-num * size // den) + 1, 0)
 
@@ -88,60 +127,88 @@ def _first(values: np.ndarray, bounds: np.ndarray, take: np.ndarray) -> tuple:
     return kept, np.concatenate([[0], np.cumsum(np.minimum(take, size))])
 
 
-def _scanner(length: int, num: int, den: int):
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signer(length: int):
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             hashes, bounds = shingle_sets(batch.column("text"), length)
-            size = np.diff(bounds)
             sums = [
                 np.concatenate([[np.uint64(0)], np.cumsum(mixed(hashes ^ np.uint64(s)))])
                 for s in (0x243F6A8885A308D3, 0x13198A2E03707344)
             ]
-            signature = [(s[bounds[1:]] - s[bounds[:-1]]).view(np.int64) for s in sums]
-            keys = _list_array(*_first(hashes, bounds, _key_count(size, num, den)))
+            a, b = ((s[bounds[1:]] - s[bounds[:-1]]).view(np.int64) for s in sums)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("vertex"),
                     batch.column("doc_id"),
-                    pa.array(size.astype(np.int32)),
-                    pa.array(signature[0]),
-                    pa.array(signature[1]),
-                    pa.array(_packed(_group_counts(hashes, bounds)), pa.binary()),
-                    keys,
+                    pa.array(np.diff(bounds).astype(np.int32)),
+                    pa.array(a),
+                    pa.array(b),
                 ],
-                ["vertex", "doc_id", "size", "sig_a", "sig_b", "counts", "keys"],
+                ["vertex", "doc_id", "size", "sig_a", "sig_b"],
             )
 
-    return scan
+    return sign
+
 
+def _key_counter(length: int, num: int, den: int):
+    """Keys that several sets of one task have; a key of very many sets is among them."""
 
-def _rescanner(length: int, num: int, den: int, common):
-    """Routing keys of the texts that have a common key among their first ones."""
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys, n = np.unique(np.concatenate(held), return_counts=True)
+        several = n > 1
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys[several].view(np.int64)), pa.array(n[several])], ["key", "n"]
+        )
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late = common.value
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [np.zeros(0, np.uint64)], 0
+        for batch in slices(batches, "text"):
+            hashes, bounds = shingle_sets(batch.column("text"), length)
+            held.append(_first(hashes, bounds, _key_count(np.diff(bounds), num, den))[0])
+            size += len(held[-1])
+            if size > COUNTED:
+                yield counted(held)
+                held, size = [np.zeros(0, np.uint64)], 0
+        yield counted(held)
+
+    return count
+
+
+ROUTED = "set_id long, vertex long, size long, counts binary, keys array<long>, common array<long>"
+
+
+def _router(length: int, num: int, den: int, shared):
+    """Point and routing keys of every set, and which of these keys are common."""
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        late = shared.value
         for batch in slices(batches, "text"):
             hashes, bounds = shingle_sets(batch.column("text"), length)
             size = np.diff(bounds)
-            take = _key_count(size, num, den)
-            place = np.searchsorted(late, hashes)
-            is_late = late[np.minimum(place, len(late) - 1)] == hashes
+            packed = _packed(_group_counts(hashes, bounds), size, num, den)
             owner = np.repeat(np.arange(len(size)), size)
-            first = np.arange(len(hashes)) - bounds[:-1][owner] < take[owner]
-            touched = np.zeros(len(size), bool)
-            touched[owner[first & is_late]] = True
-            if not touched.any():
-                continue
+            is_late = np.zeros(len(hashes), bool)
+            if len(late):
+                place = np.searchsorted(late, hashes)
+                is_late = late[np.minimum(place, len(late) - 1)] == hashes
             order = np.lexsort((hashes, is_late, owner))
-            kept, cut = _first(hashes[order], bounds, np.where(touched, take, 0))
-            rows = np.flatnonzero(touched)
-            edges = np.concatenate([[0], cut[1:][touched]])
+            take = _key_count(size, num, den)
+            keys, cuts = _first(hashes[order], bounds, take)
+            common, _ = _first(is_late[order], bounds, take)
+            of = np.repeat(np.arange(len(size)), np.diff(cuts))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vertex").take(pa.array(rows)), _list_array(kept, edges)],
-                ["vertex", "late_keys"],
+                [
+                    batch.column("set_id"),
+                    batch.column("vertex"),
+                    pa.array(size),
+                    pa.array(packed, pa.binary()),
+                    _list_array(keys, cuts),
+                    _list_array(keys[common], np.searchsorted(of[common], np.arange(len(size) + 1))),
+                ],
+                ["set_id", "vertex", "size", "counts", "keys", "common"],
             )
 
-    return scan
+    return route
 
 
 def _runs(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
@@ -189,25 +256,46 @@ def _links_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], schema=LINKS)
 
 
+def _several(num: int, den: int):
+    """Rows whose key another set of like size has, from rows sorted by key and size.
+
+    Sizes are alike when the smaller is ``num/den`` of the larger or more; who has such a
+    partner has one beside it.
+    """
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last row, as long as it has no partner
+        last = (None, 0)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, size = batch.column("key").to_numpy(), batch.column("size").to_numpy()
+            beside = np.zeros(len(key) + 1, bool)
+            beside[1:-1] = (key[1:] == key[:-1]) & (den * size[:-1] >= num * size[1:])
+            if key[0] == last[0] and den * last[1] >= num * int(size[0]):
+                beside[0] = True
+                if held is not None:
+                    yield held
+            keep = beside[:-1] | beside[1:]
+            # whether the last row has a partner may be seen in the next batch only
+            held = None if keep[-1] else batch.slice(len(key) - 1)
+            last = (key[-1], int(size[-1]))
+            yield batch.filter(pa.array(keep))
+
+    return pick
+
+
 def _candidates(num: int, den: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _runs(batches, ["key", "block"]):
-            starts, ends = _groups(table, ["key", "block"])
-            several = np.flatnonzero(ends - starts > 1)
-            if not len(several):
-                continue
-            rows = np.concatenate([np.arange(starts[g], ends[g]) for g in several])
-            part = table.take(pa.array(rows)).combine_chunks()
-            vertex = part.column("vertex").to_numpy()
-            sizes = part.column("size").to_numpy().astype(np.int64)
-            counts = _unpacked(part.column("counts").to_pylist())
-            found, at = [], 0
-            for g in several:
-                n = int(ends[g] - starts[g])
-                one = slice(at, at + n)
-                links = spanning_links(counts[one], sizes[one], num, den)
-                found.extend((vertex[at + a], vertex[at + b]) for a, b in links)
-                at += n
+        for table in _runs(batches, ["key"]):
+            starts, ends = _groups(table, ["key"])
+            vertex = table.column("vertex").to_numpy()
+            packed = table.column("counts").to_pylist()
+            found = []
+            for a, b in zip(starts.tolist(), ends.tolist()):
+                if b - a > 1:
+                    links = _links_by_class(packed[a:b], num, den)
+                    found.extend((vertex[a + i], vertex[a + j]) for i, j in links)
             if found:
                 yield _links_batch(found)
 
@@ -239,8 +327,8 @@ def _verified(length: int, num: int, den: int):
                         out[i] = den * both >= num * union
                     return out
 
-                counts = _group_counts(hashes, bounds)
-                links = spanning_links(counts, sizes, num, den, linked)
+                points = _packed(_group_counts(hashes, bounds), sizes, num, den)
+                links = _links_by_class(points, num, den, linked)
                 if links:
                     yield _links_batch([(vertex[a], vertex[b]) for a, b in links])
 
@@ -253,19 +341,58 @@ def _sets_of(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(packed), np.uint64), bounds
 
 
-def _set_packer(length: int):
+FILTER_BITS = 26
+
+
+def _slot():
+    return F.shiftrightunsigned(F.xxhash64("vertex"), 64 - FILTER_BITS).alias("slot")
+
+
+def _vertex_filter(vertices: DataFrame):
+    """A bitmap of 8 MB over hashed vertices, whatever their number; broadcast.
+
+    It only saves moving the texts of documents that surely have no candidate. The more
+    vertices there are the less it saves; the join behind it decides.
+    """
+
+    def paint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drawn: dict[int, np.ndarray] = {}
+        for batch in batches:
+            slots = batch.column("slot").to_numpy()
+            for tile in np.unique(slots >> 16).tolist():
+                bits = drawn.setdefault(tile, np.zeros(1 << 16, np.uint8))
+                bits[slots[slots >> 16 == tile] & 0xFFFF] = 1
+        tiles = sorted(drawn)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(tiles, pa.int32()),
+                pa.array([np.packbits(drawn[t], bitorder="little").tobytes() for t in tiles], pa.binary()),
+            ],
+            ["tile", "bits"],
+        )
+
+    spark = vertices.sparkSession
+    # by tile, so that each of the 1024 comes to the driver once
+    painted = vertices.select(_slot()).repartition(wide(spark), F.shiftright("slot", 16))
+    whole = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    for row in painted.mapInArrow(paint, "tile int, bits binary").collect():
+        at = row["tile"] << 13
+        whole[at : at + (1 << 13)] |= np.frombuffer(row["bits"], np.uint8)
+    return spark.sparkContext.broadcast(whole)
+
+
+def _set_packer(length: int, wanted):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = wanted.value
         for batch in slices(batches, "text"):
+            slots = batch.column("slot").to_numpy()
+            batch = batch.filter(pa.array((bits[slots >> 3] >> (slots & 7) & 1).astype(bool)))
+            if not batch.num_rows:
+                continue
             hashes, bounds = shingle_sets(batch.column("text"), length)
             packed = [hashes[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("vertex"),
-                    batch.column("root"),
-                    batch.column("blocks"),
-                    pa.array(packed, pa.binary()),
-                ],
-                ["vertex", "root", "blocks", "set"],
+                [batch.column("vertex"), pa.array(packed, pa.binary())], ["vertex", "set"]
             )
 
     return pack
@@ -278,7 +405,7 @@ def _block_pairs(blocks, vertex):
         F.sequence(F.lit(0), blocks - 1),
         lambda other: F.least(mine, other) * blocks + F.greatest(mine, other),
     )
-    return F.when(blocks <= 1, F.array(F.lit(0).cast("long"))).otherwise(pairs)
+    return pairs
 
 
 def ngram_join(
@@ -294,26 +421,22 @@ def ngram_join(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text"),
     )
-    scanned = work.store(rows.mapInArrow(_scanner(length, num, den), SCANNED), "scanned")
+    scanned = work.store(
+        rows.mapInArrow(_signer(length), "vertex long, doc_id long, size int, sig_a long, sig_b long"),
+        "scanned",
+    )
     same = ["size", "sig_a", "sig_b"]
     sets = work.store(
-        scanned.where("size > 0")
-        .groupBy(*same)
-        .agg(
-            F.min("vertex").alias("vertex"),
-            F.first("counts").alias("counts"),
-            F.first("keys").alias("keys"),
-        ),
-        "sets",
+        scanned.where("size > 0").groupBy(*same).agg(F.min("vertex").alias("vertex")), "sets"
     )
     routed = _routed(spark, rows, sets, work, length, num, den)
     found = (
-        routed.repartition(wide(spark), "key", "block")
-        .sortWithinPartitions("key", "block", "size")
+        routed.repartition(wide(spark), "key")
+        .sortWithinPartitions("key")
         .mapInArrow(_candidates(num, den), "u long, v long")
     )
     candidates = components(spark, found, work, "candidates")
-    links = _verify(spark, rows, sets, candidates, work, length, num, den)
+    links = _verify(spark, rows, candidates, work, length, num, den)
     # what has the same signature, or the same doc_id, is connected as well
     twins = scanned.where("size > 0").join(
         sets.select(*same, F.col("vertex").alias("v")), same
@@ -337,50 +460,55 @@ def _routed(
     num: int,
     den: int,
 ) -> DataFrame:
-    """(key, block, vertex, size, counts): every set under each of its routing keys.
+    """(key, vertex, counts): every set under each routing key that it shares.
 
-    A key is common from 1/2000 of all sets, and 200, on. All routing keys together are a
-    tenth or so of all shingles, so there are at most 200 common keys for each shingle that a
-    set has on average, however many sets there are; that is what is broadcast.
+    A key is common from 1/5000 of all sets, and 50, on (as counted within tasks). So there are
+    at most 5000 common keys for each routing key that a set has on average, however many sets
+    there are; that bounds both tables broadcast here. Which keys are common decides how fast the search is, not what it
+    finds: any one order of all shingles is right.
     """
-    total = sets.count()
-    least = max(200, total // 2000)
-    plain = sets.select(F.explode("keys").alias("key"))
+    # a vertex has several sets if rows with different texts share a doc_id
+    texts = rows.select("vertex", "text", F.xxhash64("vertex", "text").alias("set_id"))
+    least = max(50, sets.count() // 5000)
+    counted = texts.mapInArrow(_key_counter(length, num, den), "key long, n long")
     common = np.array(
-        sorted(
-            int(r[0]) & 0xFFFFFFFFFFFFFFFF
-            for r in plain.groupBy("key").count().where(F.col("count") >= least).select("key").collect()
-        ),
-        np.uint64,
+        [r[0] for r in counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).collect()],
+        np.int64,
+    ).view(np.uint64)
+    shared = spark.sparkContext.broadcast(np.sort(common))
+    points = work.store(
+        texts.mapInArrow(_router(length, num, den, shared), ROUTED)
+        .join(sets.select("vertex"), "vertex", "left_semi")
+        .dropDuplicates(["vertex", "set_id"]),
+        "points",
     )
+    keys = points.select(F.explode("keys").alias("key"), "set_id", "size")
     if len(common):
-        shared = spark.sparkContext.broadcast(common)
-        again = rows.select("vertex", "text").mapInArrow(
-            _rescanner(length, num, den, shared), "vertex long, late_keys array<long>"
+        # what sets without common keys add to such a key is below ``least``
+        crowded = (
+            points.select(F.explode("common").alias("key")).groupBy("key").count()
+            .where(F.col("count") > max(2 * BLOCK, least))
+            .select("key", F.ceil(F.col("count") / BLOCK).cast("long").alias("blocks"))
         )
-        again = work.store(again.groupBy("vertex").agg(F.first("late_keys").alias("late_keys")), "late")
-        sets = sets.join(again, "vertex", "left").withColumn(
-            "keys", F.coalesce("late_keys", "keys")
+        pairs = F.transform(
+            _block_pairs(F.col("blocks"), F.col("set_id")), lambda pair: F.xxhash64("key", pair)
         )
-    emitted = work.store(sets.select("vertex", "size", "counts", "keys"), "routing")
-    emitted = emitted.select(F.explode("keys").alias("key"), "vertex", "size", "counts")
-    crowded = (
-        emitted.groupBy("key").count().where(F.col("count") > 2 * BLOCK)
-        .select("key", F.ceil(F.col("count") / BLOCK).cast("long").alias("blocks"))
-    )
-    if not len(common):
-        return emitted.withColumn("block", F.lit(0).cast("long"))
-    blocks = F.coalesce(F.col("blocks"), F.lit(1).cast("long"))
-    return emitted.join(crowded, "key", "left").select(
-        "key", F.explode(_block_pairs(blocks, F.col("vertex"))).alias("block"),
-        "vertex", "size", "counts",
+        keys = keys.join(F.broadcast(crowded), "key", "left").select(
+            F.explode(F.when(F.col("blocks").isNull(), F.array("key")).otherwise(pairs)).alias("key"),
+            "set_id",
+            "size",
+        )
+    several = (
+        keys.repartition(wide(spark), "key").sortWithinPartitions("key", "size")
+        .mapInArrow(_several(num, den), "key long, set_id long, size long")
     )
+    points = points.select("set_id", "vertex", "counts")
+    return several.join(points, "set_id").select("key", "vertex", "counts")
 
 
 def _verify(
     spark: SparkSession,
     rows: DataFrame,
-    sets: DataFrame,
     candidates: DataFrame,
     work: WorkTables,
     length: int,
@@ -392,11 +520,10 @@ def _verify(
     placed = candidates.join(count, "root").select(
         "vertex", "root", F.ceil(F.col("count") / BLOCK).cast("long").alias("blocks")
     )
-    texts = rows.select("vertex", "text").join(placed, "vertex")
-    packed = texts.mapInArrow(
-        _set_packer(length), "vertex long, root long, blocks long, set binary"
+    packed = rows.select("vertex", "text", _slot()).mapInArrow(
+        _set_packer(length, _vertex_filter(candidates)), "vertex long, set binary"
     )
-    dealt = packed.select(
+    dealt = packed.join(placed, "vertex").select(
         "root", "vertex", "set", F.explode(_block_pairs(F.col("blocks"), F.col("vertex"))).alias("block")
     )
     found = (

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,6 +53,16 @@ _GAPS = bytes.maketrans(b"\n", b" ")
 _STOPS = b".,;:!?"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level files."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(0x100, 0x200))
+    return {b: chr(b) if b in shown else chr(next(rest)) for b in range(256)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class WordEncoder:
     """Ids of texts through the ids of their words."""
 
@@ -62,9 +73,13 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.code = "H" if self.kind is np.uint16 else "I"
         self.known: dict[bytes, bytes] = {b"": b""}
         self.folds = self._folds_case()
         self.apart = self._by_words()
+        self.direct = False
+        tried = ["a", "hello", "école", "straße", "ñandú", "ünübertreffbarkeiten", "naïveté", "µ"]
+        self.direct = self.folds and [self._letters(w) for w in tried] == self._packed(tried)
 
     def _packed(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -83,6 +98,15 @@ class WordEncoder:
         a, b, both = self._packed(["one", "two", "one  two"])
         return a + b == both
 
+    def _letters(self, word: str) -> bytes:
+        """Ids of a word of Latin letters from the library's model alone.
+
+        Nothing but lower case and the byte letters of such files stands between the two, which
+        is tried out before it is relied on.
+        """
+        raw = word.lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(raw)]).tobytes()
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.apart:
             return self._packed([t.decode() for t in texts])
@@ -90,10 +114,10 @@ class WordEncoder:
         if len(self.known) > KNOWN_WORDS:
             self.known = {b"": b""}
         known = self.known
-        new = list({w for words in cut for w in words if w not in known})
+        new = set().union(*cut).difference(known)
         if new:
             self._learn(new)
-        return [b"".join([known[w] for w in words]) for words in cut]
+        return [b"".join(map(known.__getitem__, words)) for words in cut]
 
     def _cut(self, text: bytes) -> list[bytes]:
         # special strings are looked for before letters are folded
@@ -101,14 +125,21 @@ class WordEncoder:
             text = text.lower()
         return text.translate(_GAPS).split(b" ")
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: set[bytes]) -> None:
         """A word of letters with a full stop or comma behind is the word and the sign."""
         bare = {w: w[:-1] for w in words if w[-1] in _STOPS and w[:-1].isalpha()}
-        ask = {b for b in bare.values()} | {w[-1:] for w in bare} | {w for w in words if w not in bare}
-        ask = [w for w in ask if w not in self.known]
-        for k in range(0, len(ask), 4096):
-            part = ask[k : k + 4096]
-            self.known.update(zip(part, self._packed([w.decode() for w in part])))
+        ask = words.difference(bare).union(bare.values(), {w[-1:] for w in bare})
+        rest = []
+        for word in ask.difference(self.known):
+            text = word.decode()
+            if self.direct and text.isalpha() and max(text) <= "ÿ":
+                self.known[word] = self._letters(text)
+            else:
+                rest.append((word, text))
+        for k in range(0, len(rest), 4096):
+            part = rest[k : k + 4096]
+            found = self._packed([text for _, text in part])
+            self.known.update((word, ids) for (word, _), ids in zip(part, found))
         self.known.update((w, self.known[b] + self.known[w[-1:]]) for w, b in bare.items())
 
 

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ QUERIES = 2048
 
 def usable(column: pa.Array, dimension: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Rows that take part, and their vectors in double precision."""
-    sizes = np.array([-1 if v is None else v for v in pa.compute.list_value_length(column).to_pylist()])
+    sizes = np.array([-1 if v is None else v for v in pc.list_value_length(column).to_pylist()])
     if dimension is None:
         dimension = int(sizes.max(initial=0))
     rows = np.flatnonzero(sizes == dimension) if dimension > 0 else np.zeros(0, np.int64)
@@ -106,7 +107,7 @@ def fit_index(vectors: DataFrame, centroids: int = 32, sample: int = 8000) -> Mu
     column = rows["embedding"].combine_chunks() if rows.num_rows else None
     if column is None or not len(column):
         return None
-    sizes = [n for n in pa.compute.list_value_length(column).to_pylist() if n]
+    sizes = [n for n in pc.list_value_length(column).to_pylist() if n]
     if not sizes:
         return None
     points = usable(column, sizes[0])[1]

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.worktables import WorkTables, wide
 
-BUCKET = 1024
+BUCKET = 16384
 QUERIES = 2048
 
 

@@ -9,9 +9,10 @@ How it runs:
 
 1. A pass over the texts gives each set's size and signature; sets with the same signature are
    folded to one. A further pass gives *routing keys*: any two linked sets have one in common
-   (the smallest ``a - ceil(t*a) + 1`` of ``a`` shingles in one fixed order). Keys that very
+   (the smallest ``a - ceil(t*a) + 1`` of ``a`` shingles in one fixed order). Shingles that very
    many sets have come last in that order, so that passages shared by many texts hardly route.
-   A key that still gathers many sets is dealt out as pairs of blocks.
+   The sets under each key so taken are counted, and a key that still gathers many is dealt out
+   as pairs of blocks.
 2. Sets under a key that no other set of like size has are let go. The others get their point: the counts of
    their shingles by hash group, with more groups the larger the set. The points under a key
    are packed into an R-tree. Searching it by the sum of smaller counts, a bound on the
@@ -47,8 +48,11 @@ CLASSES = ((0, 16), (128, 64), (1024, 256), (8192, 1024))
 MOST = CLASSES[-1][1]
 # sets under one key or in one component that are compared in one task
 BLOCK = 500
-# keys counted at a time when looking for common ones
+# shingles or keys counted at a time
 COUNTED = 1 << 21
+# crowded keys up to which their table is broadcast, and the salts they are joined by beyond
+FEW_CROWDED = 500_000
+SALTS = 64
 
 
 def _class_of(size: np.ndarray) -> np.ndarray:
@@ -150,35 +154,52 @@ def _signer(length: int):
     return sign
 
 
-def _key_counter(length: int, num: int, den: int):
-    """Keys that several sets of one task have; a key of very many sets is among them."""
+def _counted(held: list[np.ndarray], least: int) -> pa.RecordBatch:
+    keys, n = np.unique(np.concatenate(held), return_counts=True)
+    enough = n >= least
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys[enough].view(np.int64)), pa.array(n[enough])], ["key", "n"]
+    )
 
-    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
-        keys, n = np.unique(np.concatenate(held), return_counts=True)
-        several = n > 1
-        return pa.RecordBatch.from_arrays(
-            [pa.array(keys[several].view(np.int64)), pa.array(n[several])], ["key", "n"]
-        )
+
+def _shingle_counter(length: int):
+    """Shingles that several sets of one task have; one of very many sets is among them.
+
+    All are counted and not only the first of each set: when common ones are moved last, others
+    become the first.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [np.zeros(0, np.uint64)], 0
         for batch in slices(batches, "text"):
-            hashes, bounds = shingle_sets(batch.column("text"), length)
-            held.append(_first(hashes, bounds, _key_count(np.diff(bounds), num, den))[0])
+            held.append(shingle_sets(batch.column("text"), length)[0])
             size += len(held[-1])
             if size > COUNTED:
-                yield counted(held)
+                yield _counted(held, 2)
                 held, size = [np.zeros(0, np.uint64)], 0
-        yield counted(held)
+        yield _counted(held, 2)
 
     return count
 
 
-ROUTED = "set_id long, vertex long, size long, counts binary, keys array<long>, common array<long>"
+def _key_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many sets are under every routing key, added up within tasks."""
+    held, size = [np.zeros(0, np.uint64)], 0
+    for batch in batches:
+        keys = batch.column("keys").flatten().to_numpy(zero_copy_only=False)
+        held.append(keys.view(np.uint64))
+        size += len(keys)
+        if size > COUNTED:
+            yield _counted(held, 1)
+            held, size = [np.zeros(0, np.uint64)], 0
+    yield _counted(held, 1)
+
+
+ROUTED = "set_id long, vertex long, size long, counts binary, keys array<long>"
 
 
 def _router(length: int, num: int, den: int, shared):
-    """Point and routing keys of every set, and which of these keys are common."""
+    """Point and routing keys of every set."""
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = shared.value
@@ -194,8 +215,6 @@ def _router(length: int, num: int, den: int, shared):
             order = np.lexsort((hashes, is_late, owner))
             take = _key_count(size, num, den)
             keys, cuts = _first(hashes[order], bounds, take)
-            common, _ = _first(is_late[order], bounds, take)
-            of = np.repeat(np.arange(len(size)), np.diff(cuts))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("set_id"),
@@ -203,9 +222,8 @@ def _router(length: int, num: int, den: int, shared):
                     pa.array(size),
                     pa.array(packed, pa.binary()),
                     _list_array(keys, cuts),
-                    _list_array(keys[common], np.searchsorted(of[common], np.arange(len(size) + 1))),
                 ],
-                ["set_id", "vertex", "size", "counts", "keys", "common"],
+                ["set_id", "vertex", "size", "counts", "keys"],
             )
 
     return route
@@ -462,15 +480,16 @@ def _routed(
 ) -> DataFrame:
     """(key, vertex, counts): every set under each routing key that it shares.
 
-    A key is common from 1/5000 of all sets, and 50, on (as counted within tasks). So there are
-    at most 5000 common keys for each routing key that a set has on average, however many sets
-    there are; that bounds both tables broadcast here. Which keys are common decides how fast the search is, not what it
-    finds: any one order of all shingles is right.
+    A shingle is common from 1/5000 of all sets, and 50, on (as counted within tasks). So there
+    are at most 5000 common ones for each shingle that a set has on average, however many sets
+    there are; that bounds what is broadcast here. Which are common decides how fast the search
+    is, not what it finds: any one order of all shingles is right. How many sets a key gathers
+    is counted afterwards, over the keys that the sets really have.
     """
     # a vertex has several sets if rows with different texts share a doc_id
     texts = rows.select("vertex", "text", F.xxhash64("vertex", "text").alias("set_id"))
     least = max(50, sets.count() // 5000)
-    counted = texts.mapInArrow(_key_counter(length, num, den), "key long, n long")
+    counted = texts.mapInArrow(_shingle_counter(length), "key long, n long")
     common = np.array(
         [r[0] for r in counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).collect()],
         np.int64,
@@ -483,17 +502,25 @@ def _routed(
         "points",
     )
     keys = points.select(F.explode("keys").alias("key"), "set_id", "size")
-    if len(common):
-        # what sets without common keys add to such a key is below ``least``
-        crowded = (
-            points.select(F.explode("common").alias("key")).groupBy("key").count()
-            .where(F.col("count") > max(2 * BLOCK, least))
-            .select("key", F.ceil(F.col("count") / BLOCK).cast("long").alias("blocks"))
-        )
+    crowded = work.store(
+        points.select("keys").mapInArrow(_key_counter, "key long, n long")
+        .groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > 2 * BLOCK)
+        .select("key", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks")),
+        "crowded",
+    )
+    many = crowded.count()
+    if many:
+        if many <= FEW_CROWDED:
+            keys = keys.join(F.broadcast(crowded), "key", "left")
+        else:
+            # a crowded key has more than 2 * BLOCK rows, which meet it in SALTS places
+            salted = crowded.withColumn("salt", F.explode(F.array(*[F.lit(k) for k in range(SALTS)])))
+            keys = keys.withColumn("salt", F.pmod(F.xxhash64("set_id", F.lit(3)), F.lit(SALTS)).cast("int"))
+            keys = keys.join(salted, ["key", "salt"], "left").drop("salt")
         pairs = F.transform(
             _block_pairs(F.col("blocks"), F.col("set_id")), lambda pair: F.xxhash64("key", pair)
         )
-        keys = keys.join(F.broadcast(crowded), "key", "left").select(
+        keys = keys.select(
             F.explode(F.when(F.col("blocks").isNull(), F.array("key")).otherwise(pairs)).alias("key"),
             "set_id",
             "size",

@@ -72,6 +72,32 @@ def test_common_keys_change_nothing(spark, monkeypatch):
     assert {tuple(r) for r in out.collect()} == brute(rows, 3, 90, 100)
 
 
+@pytest.mark.parametrize("few", [500_000, 0])
+def test_keys_taken_for_common_ones_are_dealt_too(spark, monkeypatch, few):
+    # one passage of fewer sets than make a shingle common, and one of more
+    draw = random.Random(6)
+    word = lambda: "".join(draw.choices("abcdefgh", k=6))
+    texts = []
+    for shared, count in ((48, 45), (48, 160), (95, 160)):
+        passage = " ".join(word() for _ in range(shared + 4))
+        texts += [passage + " " + " ".join(word() for _ in range(100 - shared)) for _ in range(count)]
+    rows = list(enumerate(texts))
+    monkeypatch.setattr(join_module, "BLOCK", 5)
+    monkeypatch.setattr(join_module, "FEW_CROWDED", few)
+    taken, real = [], join_module._routed
+
+    def routed(*given):
+        out = real(*given)
+        taken.extend(r["count"] for r in out.groupBy("key").count().collect())
+        return out
+
+    monkeypatch.setattr(join_module, "_routed", routed)
+    out = ngram_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 5, 80, 100)
+    assert {tuple(r) for r in out.collect()} == brute(rows, 5, 80, 100)
+    # pairs of blocks of about 5 sets each
+    assert taken and max(taken) <= 30
+
+
 def test_all_documents(spark):
     documents = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     got = {tuple(r) for r in ngram_join(documents, 3, 90, 100).collect()}

@@ -3,8 +3,10 @@
 The two halves of a vector are quantised separately, by k-means on a bounded sample, and a
 vector is filed under the pair of its centroids. A query walks the pairs by summed distance
 (less is nearer: the negative inner product of each half with its centroid) with a heap, until
-the cells walked hold ``share`` of all vectors; what lies in them is reranked by the exact
-inner product in double precision.
+the cells walked hold ``share`` of all vectors, and as many candidates as are asked for; what
+lies in them is reranked by the exact inner product in double precision. Where many vectors are
+alike, their cell alone is much of all vectors, so the walk goes on until ``share`` is also
+reached with no cell counting for more than ``LIMIT`` times the median one.
 
 Queries and cells meet in blocks: cells are packed into buckets of about ``BUCKET`` vectors, a
 larger cell is cut into several, and every block of queries is paired with every bucket, where
@@ -33,6 +35,7 @@ from ledgerline.llm.worktables import WorkTables, wide
 
 BUCKET = 16384
 QUERIES = 2048
+LIMIT = 4
 
 
 def usable(column: pa.Array, dimension: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -79,17 +82,21 @@ class MultiIndex:
         a = nearest_centre(vectors[:, : self.half], self.first)
         return a * len(self.second) + nearest_centre(vectors[:, self.half :], self.second)
 
-    def walk(self, query: np.ndarray, counts: np.ndarray, wanted: float) -> list[int]:
-        """Cells by summed distance until they hold ``wanted`` vectors."""
+    def walk(self, query: np.ndarray, counts: np.ndarray, wanted: float, share: float = 0.0) -> list[int]:
+        """Cells by summed distance until they hold ``wanted`` vectors and ``share`` of the
+        limited counts."""
+        limited = _limited(counts)
+        mass, limited = share * limited.sum(), limited.tolist()
         a, b = -(self.first @ query[: self.half]), -(self.second @ query[self.half :])
         by_a, by_b = np.argsort(a, kind="stable").tolist(), np.argsort(b, kind="stable").tolist()
         a, b, width = a.tolist(), b.tolist(), len(self.second)
-        heap, held, cells = [(a[by_a[0]] + b[by_b[0]], 0, 0)], 0, []
-        while heap and held < wanted:
+        heap, held, reached, cells = [(a[by_a[0]] + b[by_b[0]], 0, 0)], 0, 0, []
+        while heap and (held < wanted or reached < mass):
             _, i, j = heapq.heappop(heap)
             cell = by_a[i] * width + by_b[j]
             cells.append(cell)
             held += counts[cell]
+            reached += limited[cell]
             # each pair is pushed once: along the row, and down only from its first column
             if j + 1 < len(by_b):
                 heapq.heappush(heap, (a[by_a[i]] + b[by_b[j + 1]], i, j + 1))
@@ -98,6 +105,11 @@ class MultiIndex:
         return cells
 
 
+def _limited(counts: np.ndarray) -> np.ndarray:
+    filled = counts[counts > 0]
+    return np.minimum(counts, LIMIT * max(1, int(np.median(filled)))) if len(filled) else counts
+
+
 def fit_index(vectors: DataFrame, centroids: int = 32, sample: int = 8000) -> MultiIndex | None:
     """Centroids from at most ``sample`` vectors, those with the least hash of their id."""
     rows = (
@@ -146,17 +158,19 @@ def _filer(index):
     return file
 
 
-def _walker(plan, share: float):
-    """The cells each query walks, as a bitmap."""
+def _walker(plan, share: float, nearest: int, own: int):
+    """The cells each query walks, as a bitmap. At most ``own`` rows have the id of a query;
+    they are no candidates, so that many more are held."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, counts = plan.value
+        wanted = max(share * counts.sum(), nearest) + own
         for batch in batches:
             vectors = _matrix(batch.column("vector"))
             maps = []
             for query in vectors:
                 bits = np.zeros(index.cells, np.uint8)
-                bits[index.walk(query, counts, share * counts.sum())] = 1
+                bits[index.walk(query, counts, wanted, share)] = 1
                 maps.append(np.packbits(bits).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vec_id"), batch.column("vector"), pa.array(maps, pa.binary())],
@@ -235,8 +249,10 @@ def nearest_vectors(
     queries = filed.where(asks)
     blocks = max(1, -(-queries.count() // QUERIES))
     plan = spark.sparkContext.broadcast((index, counts))
+    # rows of one id ask alike or not, as ``is_query`` says; all of them are no candidates
+    own = filed.groupBy("vec_id").count().agg(F.max("count")).first()[0] or 0
     walked = work.store(
-        queries.mapInArrow(_walker(plan, share), "query_id long, query binary, cells binary"), "walked"
+        queries.mapInArrow(_walker(plan, share, nearest, own), "query_id long, query binary, cells binary"), "walked"
     )
     start = F.element_at(F.array(*[F.lit(int(x)) for x in first]), (F.col("cell") + 1).cast("int"))
     number = F.element_at(F.array(*[F.lit(int(x)) for x in pieces]), (F.col("cell") + 1).cast("int"))

@@ -180,6 +180,47 @@ def test_awkward_vectors(spark):
     assert nearest_vectors(table.where("vec_id >= 60 AND vec_id < 180")).collect() == []
 
 
+@pytest.mark.parametrize("size", [3, 8, 15, 25])
+def test_few_different_vectors(spark, size):
+    draw = np.random.default_rng(size)
+    rows = [(k, draw.normal(size=8).tolist()) for k in range(size)]
+    # a second row of an id is no candidate for it either
+    rows.append((0, draw.normal(size=8).tolist()))
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in nearest_vectors(table, F.lit(True), nearest=20).collect():
+        got.setdefault(r.query_id, []).append(r)
+    for k in range(1, size):
+        exact = sorted(((-float(np.dot(v, rows[k][1])), i) for i, v in rows if i != k))[:20]
+        mine = [r.vec_id for r in sorted(got[k], key=lambda r: r["rank"])]
+        assert len(mine) == len(exact)
+        if len(exact) < 20 or size <= 20:
+            assert mine == [i for _, i in exact]
+    # a small share does not lessen how many are returned
+    few = nearest_vectors(table, F.lit(True), nearest=5, share=0.01).groupBy("query_id").count().collect()
+    assert all(r["count"] >= min(5, size - 1) for r in few) and len(few) == size
+
+
+def test_recall_beside_a_hot_cluster(spark):
+    local = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").limit(3000).toPandas()
+    vectors = np.stack(local["embedding"]).astype(float)
+    hot = np.arange(len(vectors)) % 2 == 1
+    vectors[hot] = vectors[0]
+    table = spark.createDataFrame(
+        [(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>"
+    )
+    asked = list(range(20, len(vectors), 20))
+    got = {}
+    for r in nearest_vectors(table, nearest=20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for k in asked:
+        exact = vectors @ vectors[k]
+        exact[k] = -np.inf
+        hits += len(got[k] & set(np.argsort(-exact)[:20].tolist()))
+    assert hits >= 0.93 * 20 * len(asked), hits / (20 * len(asked))
+
+
 def sql_mix(rows):
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")

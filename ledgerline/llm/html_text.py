@@ -3,7 +3,9 @@
 A page is read as a flat sequence of text blocks, parted by block-level tags; scripts, styles,
 comments and the head are left out. A block has a word count and a link density, and so have
 the blocks before and behind it; it also knows what kind of region it is in and whether it is a
-heading. A decision tree grown from the small labelled table below says which blocks are main
+heading. What class, id and role say of a region is read word by word: names of main text
+outweigh those of the layout around it (``content no-sidebar``, ``entry-header``), but nothing
+reopens main text within comments and the like. A decision tree grown from the small labelled table below says which blocks are main
 text. Character references are decoded, white space in a block becomes one space, and the
 blocks kept are joined by two line ends.
 
@@ -31,8 +33,8 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>",
     re.DOTALL | re.IGNORECASE,
 )
-NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
-HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.IGNORECASE)
 PART = re.compile(r"[a-z]+")
 
 BLOCKS = frozenset(
@@ -55,6 +57,19 @@ AROUND_NAMES = frozenset(
     "promoted promotion recommended related replies reply respond search share sharing sidebar "
     "signup social sponsor sponsored subscribe tags toolbar widget".split()
 )
+# of these, words of layout, which a name of main text in the same list outweighs
+LAYOUT_NAMES = frozenset(
+    "banner breadcrumb breadcrumbs footer header masthead menu nav navbar navigation sidebar "
+    "toolbar widget".split()
+)
+# of these, what holds texts of its own that are not main text, whatever is inside
+SEALED_NAMES = frozenset(
+    "ad ads adv advert advertisement adverts comment comments disqus promo promoted promotion "
+    "recommended related replies reply respond sponsor sponsored".split()
+)
+# no-sidebar and comments-open say what else there is, or how it is, and not what is inside
+QUALIFIERS = frozenset("has hide no not show with without".split())
+STATES = frozenset("active closed disabled enabled off on open visible".split())
 
 # Labelled blocks, fixed values: region (1 main, 0 open, -1 around), heading, words and link
 # density of the block, of the one before and of the one behind; then 1 for main text.
@@ -131,19 +146,68 @@ class DecisionTree:
             node[inner] = np.where(goes_low, low[at], high[at])
 
 
+SEALED = -2
+
+
+def _attributes(source: str) -> tuple[bool, list[str]]:
+    """Whether they hide the element, and the tokens of its class, id and role."""
+    hidden, tokens = False, []
+    for name, value in ATTRIBUTE.findall(source):
+        name, value = name.lower(), value.strip("\"'").lower()
+        if name in ("class", "id", "role"):
+            tokens.extend(value.split())
+        elif name == "hidden":
+            hidden = True
+        elif name == "aria-hidden":
+            hidden = hidden or value.strip() == "true"
+        elif name == "style":
+            hidden = hidden or NO_DISPLAY.search(value) is not None
+    return hidden, tokens
+
+
+def _named(tokens: list[str]) -> tuple[bool, bool, set[str]]:
+    """Whether a token names main text, whether one does so alone, and the names around it."""
+    main, alone, around = False, False, set()
+    for token in tokens:
+        words = PART.findall(token)
+        said = next((k for k, w in enumerate(words) if w in QUALIFIERS), len(words))
+        if words and words[-1] in STATES:
+            outer = set()
+        else:
+            outer = AROUND_NAMES.intersection(words[:said])
+        mine = MAIN_NAMES.intersection(words[:said])
+        # the header of an entry is part of it; main-header and article-sidebar are not
+        if mine and outer and outer <= LAYOUT_NAMES and words[-1] not in outer - {"header"}:
+            if mine != {"main"} or words[-1] != "header":
+                outer = set()
+        around |= outer
+        main = main or bool(mine) and not outer
+        alone = alone or bool(mine) and len(words) == 1
+    return main, alone, around
+
+
 def _kind(tag: str, attributes: str, inside: int) -> int:
-    """The region a container opens: 1 main, -1 around, 0 that of what it is in."""
-    if attributes and HIDDEN.search(attributes):
-        return -1
-    names: set[str] = set()
-    if attributes:
-        for value in NAMES.findall(attributes):
-            names.update(PART.findall(value.lower()))
-    if tag in AROUND and not (tag == "header" and inside == 1):
-        return -1
-    if names & AROUND_NAMES and tag not in MAIN and tag not in ("body", "html"):
+    """The region a container opens: 1 main, -1 around, SEALED around whatever is inside, 0 that
+    of what it is in."""
+    if inside == SEALED or tag == "aside":
+        return SEALED
+    hidden, tokens = _attributes(attributes) if attributes else (False, [])
+    if hidden and tag not in ("body", "html"):
         return -1
-    if tag in MAIN or names & MAIN_NAMES:
+    main, alone, around = _named(tokens)
+    if tag in AROUND and not (tag == "header" and (inside == 1 or main)):
+        return SEALED if around & SEALED_NAMES else -1
+    if tag in ("body", "html"):
+        around = set()
+    elif tag == "main":
+        around = around & SEALED_NAMES & set(tokens)
+    elif tag == "article":
+        around = set() if alone else around - LAYOUT_NAMES
+    elif main:
+        around = around - LAYOUT_NAMES
+    if around:
+        return SEALED if around & SEALED_NAMES else -1
+    if tag in MAIN or main:
         return 1
     return 0
 
@@ -200,7 +264,7 @@ class Page:
         if whole:
             linked = sum(len(html.unescape(p).split()) for p, link in self.parts if link)
             self.texts.append(" ".join(whole))
-            self.rows.append((self._region(), self.heading, len(whole), min(1.0, linked / len(whole))))
+            self.rows.append((max(-1, self._region()), self.heading, len(whole), min(1.0, linked / len(whole))))
         self.parts = []
 
 

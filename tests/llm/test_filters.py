@@ -119,6 +119,39 @@ def test_main_text_of_a_page():
     assert main_texts([long], tree)[0].count("\n\n") == 49_999
 
 
+TEXT = "A long enough sentence of the article that everyone came to this page to read today."
+OTHER = "What a reader has to say about it, in a good many words that are not the article's."
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        (f'<main class="overflow-hidden"><h1>Title</h1><p>{TEXT}</p></main>', ["Title", TEXT]),
+        (f'<article data-x="hidden" class="x-hidden"><p>{TEXT}</p></article>', [TEXT]),
+        (f"<main><p>{TEXT}</p><div hidden><p>{OTHER}</p></div></main>", [TEXT]),
+        (f'<main><p>{TEXT}</p><div style="color:red; display: none"><p>{OTHER}</p></div></main>', [TEXT]),
+        (f'<main><p>{TEXT}</p><div aria-hidden=true><p>{OTHER}</p></div></main>', [TEXT]),
+        (f'<div class="content no-sidebar"><p>{TEXT}</p></div>', [TEXT]),
+        (f'<div class="content sidebar-right"><p>{TEXT}</p></div>', [TEXT]),
+        (f'<div class="post comments-open"><p>{TEXT}</p></div>', [TEXT]),
+        (f'<article><header class="entry-header"><h1>Title</h1></header><p>{TEXT}</p></article>', ["Title", TEXT]),
+        (f'<header class="entry-header"><h1>Title</h1></header><div class="content"><p>{TEXT}</p></div>', ["Title", TEXT]),
+        (f'<main><div class="article-header"><h1>Title</h1></div><p>{TEXT}</p></main>', ["Title", TEXT]),
+        (f'<div class="main-header"><p>{OTHER}</p></div><main><p>{TEXT}</p></main>', [TEXT]),
+        (
+            f'<main><p>{TEXT}</p></main><section id="comments"><article class="comment"><p>{OTHER}</p>'
+            f'<div class="content"><p>{OTHER}</p></div></article></section>',
+            [TEXT],
+        ),
+        (f'<main><p>{TEXT}</p><article class="comment"><p>{OTHER}</p></article></main>', [TEXT]),
+        (f"<main><p>{TEXT}</p><aside><article><p>{OTHER}</p></article></aside></main>", [TEXT]),
+        (f'<form id="page"><main><p>{TEXT}</p></main></form>', [TEXT]),
+    ],
+)
+def test_ordinary_class_names(page, want):
+    assert main_texts([f"<html><body>{page}</body></html>"], DecisionTree(LABELLED)) == ["\n\n".join(want)]
+
+
 def test_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r.page_id: r for r in extract_main_text(pages).collect()}

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.ngram_join import ngram_join
+from ledgerline.llm.ngram_join import ngram_groups, vertex_of
 from ledgerline.llm.quality import fit_quality, score_quality
 from ledgerline.llm.sentence_pieces import encode
 from ledgerline.llm.source_mix import mix_sources
@@ -41,18 +41,27 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each group of near copies (five words, 0.8).
 
-    Of rows with one doc_id one stays. Rows without an id stay unless their group has one.
+    Of rows with one doc_id one stays. Rows without an id are in the same groups: of a group of
+    such rows only, one stays. Those without a word are linked with nothing and all stay.
     """
     docs = _documents(docs)
-    groups = ngram_join(docs, length=5, num=80, den=100)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    nameless = docs.where("doc_id IS NULL")
-    copied = groups.where("doc_id IS NULL AND component_id IS NOT NULL")
-    if not nameless.isEmpty() and not copied.isEmpty():
-        # such rows have nothing but their text to go by
-        named = docs.where("doc_id IS NOT NULL").select(F.md5("text").alias("h")).distinct()
-        nameless = nameless.join(named, F.md5("text") == F.col("h"), "left_anti")
-    return docs.join(kept, "doc_id").dropDuplicates(["doc_id"]).select(*COLUMNS).union(nameless)
+    work = WorkTables(spark, "near-copies")
+    named, nameless = docs.where("doc_id IS NOT NULL"), docs.where("doc_id IS NULL")
+    # a row with an id comes before those without
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "vertex")).alias("first")
+    groups = ngram_groups(docs, length=5, num=80, den=100).groupBy("root").agg(first)
+    if nameless.isEmpty():
+        kept = groups.select(F.col("first.vertex").alias("doc_id"))
+        return named.join(kept, "doc_id").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    kept = work.store(groups.select("first.nameless", "first.vertex"), "kept")
+    ids = kept.where("NOT nameless").select(F.col("vertex").alias("doc_id"))
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    texts = nameless.where(has_words).withColumn("vertex", vertex_of()).dropDuplicates(["vertex"])
+    texts = texts.join(kept.where("nameless").select("vertex"), "vertex", "left_semi")
+    return (
+        named.join(ids, "doc_id").dropDuplicates(["doc_id"]).select(*COLUMNS)
+        .union(texts.select(*COLUMNS)).union(nameless.where(~has_words))
+    )
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

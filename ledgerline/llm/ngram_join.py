@@ -426,16 +426,32 @@ def _block_pairs(blocks, vertex):
     return pairs
 
 
+def vertex_of():
+    """The vertex of a row: its doc_id, or a hash of its text."""
+    return F.coalesce(
+        F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit("")), F.lit("row"))
+    )
+
+
 def ngram_join(
     documents: DataFrame, length: int = 5, num: int = 80, den: int = 100
 ) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``documents`` (doc_id, text)."""
+    placed = ngram_groups(documents, length, num, den)
+    least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return placed.join(least, "root").select(
+        "doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id"
+    )
+
+
+def ngram_groups(
+    documents: DataFrame, length: int = 5, num: int = 80, den: int = 100
+) -> DataFrame:
+    """vertex, doc_id, size and root of every row of ``documents``; linked rows have one root."""
     spark = documents.sparkSession
     work = WorkTables(spark, "ngram-join")
     rows = documents.select(
-        F.coalesce(
-            F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit("")), F.lit("row"))
-        ).alias("vertex"),
+        vertex_of().alias("vertex"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text"),
     )
@@ -460,13 +476,9 @@ def ngram_join(
         sets.select(*same, F.col("vertex").alias("v")), same
     ).select(F.col("vertex").alias("u"), "v")
     roots = components(spark, links.union(twins), work, "links")
-    placed = scanned.select("vertex", "doc_id", "size").join(
+    return scanned.select("vertex", "doc_id", "size").join(
         roots.withColumnRenamed("vertex", "member"), F.col("vertex") == F.col("member"), "left"
-    ).select("doc_id", "size", F.coalesce("root", "vertex").alias("root"))
-    least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return placed.join(least, "root").select(
-        "doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id"
-    )
+    ).select("vertex", "doc_id", "size", F.coalesce("root", "vertex").alias("root"))
 
 
 def _routed(

@@ -50,6 +50,22 @@ def test_stages_take_awkward_documents(spark):
     assert left == [-9, 1, 3, 4, 5, 6, 7, 10, None]
 
 
+def test_copies_without_an_id(spark):
+    words = [f"w{k}" for k in range(200)]
+    other = [f"v{k}" for k in range(200)]
+    near = lambda w: " ".join([*w[:-1], "end"])
+    rows = [
+        (5, " ".join(words), "en", "a"), (None, near(words), "en", "a"),
+        (None, " ".join(other), "en", "a"), (None, " ".join(other), "en", "b"), (None, near(other), "en", "a"),
+        (7, "", "en", "a"), (None, "", "en", "a"), (None, " ", "en", "a"), (None, "", "en", "b"), (None, None, "en", "a"),
+    ]
+    got = corpus_pipeline.drop_copies(spark, frame(spark, rows), SF).collect()
+    assert sorted(r.doc_id for r in got if r.doc_id is not None) == [5, 7]
+    nameless = [r.text for r in got if r.doc_id is None]
+    assert len([t for t in nameless if t and t.strip()]) == 1
+    assert len([t for t in nameless if not (t and t.strip())]) == 4
+
+
 def test_driver_has_all_queries():
     names = driver.queries().keys()
     assert {n.split("_")[0] for n in names} >= {f"op{k}" for k in range(1, 11)} | {"pipeline"}

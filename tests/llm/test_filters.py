@@ -9,11 +9,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm.html_text import LABELLED, DecisionTree, extract_main_text, main_texts
+from ledgerline.llm.labelled import labelled_sample
 from ledgerline.llm.multi_index import nearest_vectors
 from ledgerline.llm.quality import classify_quality
 from ledgerline.llm.source_mix import mix_sources
 from ledgerline.llm.source_mix_sql import MIX_SQL
 from ledgerline.llm.toxicity import ToxicityModel, classify_toxicity, maximal_segments
+from ledgerline.llm.worktables import WorkTables
 
 from helpers import AWKWARD, SF, frame, words
 
@@ -57,6 +59,25 @@ def test_awkward_classification(spark, classify, label):
     assert all(r.score > 0.5 for r in classify(frame(spark), one).collect())
 
 
+def test_sample_of_labelled_texts(spark):
+    # one banner before all texts; every second label is of a document that is not there
+    banner = "This text is under a license that takes more than 64 characters to say so. "
+    rows = [(k, f"{banner} text {k}", "en", "a") for k in range(0, 400, 2)]
+    rows += [(k, banner + " the same", "en", "a") for k in range(1000, 1040)] + [(2000, None, "en", "a")]
+    labels = spark.createDataFrame([(k, 1) for k in [*range(400), *range(1000, 1040), 2000]], "doc_id long, toxic int")
+    learned = [k for k, t, _, _ in rows if t is not None and not held(k)]
+    texts = {t for k, t, _, _ in rows if k in learned}
+    for most, want in ((1000, texts), (60, None)):
+        docs = frame(spark, rows if want else rows[:200])
+        sample, sizes = labelled_sample(docs, labels, "toxic", {1: most}, WorkTables(spark, "t"))
+        got = [r.text for r in sample.collect()]
+        assert len(got) == len(set(got)) and set(got) <= texts
+        if want:
+            assert set(got) == want and sizes == {1: len(learned)}
+        else:
+            assert len(got) == most
+
+
 def brute_segments(scores):
     """All maximal segments by their definition: the best segment, then left and right of it."""
     def best(a, b):

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.llm.html_text import extract_main_text
 from ledgerline.llm.multi_index import nearest_vectors
@@ -15,6 +16,7 @@ from ledgerline.llm.sentence_pieces import encode
 from ledgerline.llm.simhash import fingerprint_documents
 from ledgerline.llm.source_mix import mix_sources
 from ledgerline.llm.source_mix_sql import MIX_SQL
+from ledgerline.llm.suffix_dedup import remove_repeats
 from ledgerline.llm.token_count import count_tokens
 from ledgerline.llm.token_file import token_file_digest
 from ledgerline.llm.toxicity import classify_toxicity
@@ -70,6 +72,14 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["begin"])
+    return remove_repeats(table(spark, sf_dir, "documents"), length=200).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentence_pieces": op1_sentence_pieces,
     "op2_quality": op2_quality,
@@ -81,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_count": op8_token_count,
     "op9_simhash": op9_simhash,
     "op10_source_mix": op10_source_mix,
+    "op11_suffix_dedup": op11_suffix_dedup,
 }
 
 ORACLE: dict[str, str] = {"op10_source_mix": MIX_SQL}

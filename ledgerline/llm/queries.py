@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.llm.collocations import collocations
+from ledgerline.llm.collocations_sql import PHRASES_SQL
 from ledgerline.llm.html_text import extract_main_text
 from ledgerline.llm.multi_index import nearest_vectors
 from ledgerline.llm.ngram_join import ngram_join
@@ -20,6 +22,7 @@ from ledgerline.llm.suffix_dedup import remove_repeats
 from ledgerline.llm.token_count import count_tokens
 from ledgerline.llm.token_file import token_file_digest
 from ledgerline.llm.toxicity import classify_toxicity
+from ledgerline.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +83,15 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whiten(table(spark, sf_dir, "embeddings"), keep=4)
+    return whitened.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), least=30, top=2000, covered=80)
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentence_pieces": op1_sentence_pieces,
     "op2_quality": op2_quality,
@@ -92,6 +104,8 @@ QUERIES: dict[str, Query] = {
     "op9_simhash": op9_simhash,
     "op10_source_mix": op10_source_mix,
     "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_whitening": op12_whitening,
+    "op13_collocations": op13_collocations,
 }
 
-ORACLE: dict[str, str] = {"op10_source_mix": MIX_SQL}
+ORACLE: dict[str, str] = {"op10_source_mix": MIX_SQL, "op13_collocations": PHRASES_SQL}

@@ -13,6 +13,7 @@ from ledgerline.plans import jobs, standin
 from ledgerline.schemas import TRANSFERS
 from ledgerline.session import working_folder
 from ledgerline.sinks.csv_export import daily_export_view, export_daily_csv, export_transfers_csv
+from ledgerline.sinks.folders import partition_folders
 from ledgerline.sinks.tables import write_daily, write_transfers
 from ledgerline.sources.chain import corrupt_records, read_blocks, read_headers
 from ledgerline.sources.daily_csv import daily_csv_files, read_daily_csv
@@ -429,6 +430,40 @@ def incremental_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.join(rejects, "asset", "full")
 
 
+BATCHES = 50
+
+
+def incremental_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole ledger, dated by its month, in fifty batches that all touch the same dates."""
+    folder = working_folder(spark, "incremental-levels")
+    landed = f"{folder}/landed"
+    month = F.trunc("date", "month").alias("date")
+    rows = _table_shape(spark, sf_dir).withColumn("batch", F.pmod(F.xxhash64("tx_hash", "log_pos"), F.lit(BATCHES)))
+    rows.withColumn("date", month).write.partitionBy("batch").parquet(landed)
+    tables = LedgerTables(f"{folder}/ledger")
+    for batch_id in range(BATCHES):
+        batch = spark.read.schema(TRANSFERS).parquet(f"{landed}/batch={batch_id}")
+        apply_batch(batch, batch_id, tables)
+    return comparable(stored_daily(spark, tables))
+
+
+def incremental_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches over all dates; then the second comes again, without the odd days it had.
+
+    By then its first rows are in merged runs.
+    """
+    folder = working_folder(spark, "incremental-replay")
+    landed = f"{folder}/landed"
+    batch = F.pmod("log_pos", F.lit(4)).alias("batch")
+    _table_shape(spark, sf_dir).withColumn("batch", batch).write.partitionBy("batch").parquet(landed)
+    tables = LedgerTables(f"{folder}/ledger")
+    for batch_id in (0, 1, 2, 3, 1):
+        rows = spark.read.schema(TRANSFERS).parquet(f"{landed}/batch={batch_id}")
+        again = batch_id == 1 and bool(partition_folders(spark, tables.transfers, "date", "batch_id=1"))
+        apply_batch(rows.where(F.day("date") % 2 == 0) if again else rows, batch_id, tables, fan=2)
+    return comparable(stored_daily(spark, tables))
+
+
 QUERIES: dict[str, Query] = {
     "decode_transfers": decode_transfers,
     "decode_with_headers": decode_with_headers,
@@ -472,4 +507,6 @@ QUERIES: dict[str, Query] = {
     "skipped_files": skipped_files,
     "incremental_daily": incremental_daily,
     "incremental_raw": incremental_raw,
+    "incremental_levels": incremental_levels,
+    "incremental_replay": incremental_replay,
 }

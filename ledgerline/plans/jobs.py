@@ -21,9 +21,9 @@ from ledgerline.operators.rollups import DAILY_KEYS, ledger_stats, overall_stats
 from ledgerline.operators.totals import block_coverage, chunk_counts, transfers_per_asset, with_labels
 from ledgerline.schemas import DAILY, REJECTS, TRANSFERS
 from ledgerline.sinks.csv_export import export_daily_csv, export_transfers_csv
+from ledgerline.sinks.folders import remove_folder
 from ledgerline.sinks.tables import (
     clear_assets,
-    remove_folder,
     replace_asset,
     write_daily,
     write_series,

@@ -314,4 +314,12 @@ SELECT DISTINCT event_type AS asset,
        CASE WHEN event_type = 'error' THEN 'missing required columns' END AS reason
 FROM events""",
     "incremental_daily": f"WITH {_EVENTS} {_DAILY}",
+    "incremental_levels": f"""
+WITH {_EVENTS}, months AS (
+  SELECT * REPLACE (CAST(date_trunc('month', "date") AS DATE) AS "date") FROM ledger
+) {_stats('asset, "date"', "months")}""",
+    "incremental_replay": f"""
+WITH {_EVENTS}, kept AS (
+  SELECT * FROM ledger WHERE NOT (event_id % 4 = 1 AND day("date") % 2 = 1)
+) {_stats('asset, "date"', "kept")}""",
 }

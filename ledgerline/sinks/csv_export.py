@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions import money_text
 from ledgerline.operators.decode import in_chain_order
 from ledgerline.schemas import DAILY, TRANSFERS_CSV
-from ledgerline.sinks.tables import remove_folder
+from ledgerline.sinks.folders import remove_folder
 from ledgerline.sources.transfers import read_transfers
 
 

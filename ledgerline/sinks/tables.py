@@ -71,12 +71,6 @@ def replace_asset(rows: DataFrame, path: str, asset: str, order: Sequence[str])
     )
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Deletes a folder in whatever store its path names."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def _write(frame: DataFrame, path: str, mode: str, partitions: tuple[str, ...]) -> None:
     (
         frame.write.mode(mode)

@@ -1,11 +1,13 @@
 """Incremental ingest with exact running statistics.
 
-A streaming source of transfers is processed file batch by file batch. Each
-micro-batch stores its transfers and its key partials below ``date=/batch_id=``
-and then recomputes the dates it touched from the partials of all batches. Any
-batch may bring rows for any date; nothing is late and no watermark is kept.
-Running a batch again after a failure overwrites what it had written, so every
-row counts once.
+A streaming source of transfers is processed file batch by file batch. Each micro-batch stores
+its transfers below ``date=/batch_id=`` and its key partials as runs (see ``compaction``), and
+then recomputes the dates it touched from the live runs. Any batch may bring rows for any date;
+nothing is late and no watermark is kept.
+
+Running a batch again puts its new rows in place of all it had: a date that it no longer has
+loses its rows, and a merged run that holds its old rows is built anew from the stored transfers.
+The dates at stake are noted first, so that a try that fails half-way is completed by the next.
 """
 
 from __future__ import annotations
@@ -13,7 +15,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,20 +22,16 @@ from pyspark.sql import types as T
 from ledgerline.operators.decode import CHAIN_ORDER
 from ledgerline.operators.rollups import count_partials, key_partials, merge_partials
 from ledgerline.schemas import DAILY, REJECTS, TRANSFERS
-from ledgerline.sinks.tables import remove_folder, write_daily
-
-PARTIALS = T.StructType(
-    [
-        T.StructField("asset", T.StringType()),
-        T.StructField("is_tx", T.BooleanType()),
-        T.StructField("key", T.StringType()),
-        T.StructField("volume", T.DoubleType()),
-        T.StructField("transfers", T.LongType()),
-        T.StructField("defi", T.BooleanType()),
-        T.StructField("rollup", T.BooleanType()),
-        T.StructField("batch_id", T.LongType()),
-        T.StructField("date", T.DateType()),
-    ]
+from ledgerline.sinks.folders import partition_folders, remove_folder
+from ledgerline.sinks.tables import write_daily
+from ledgerline.streaming.compaction import (
+    FAN,
+    Run,
+    compact,
+    live_runs,
+    read_runs,
+    stored_runs,
+    write_runs,
 )
 
 _STORED_TRANSFERS = T.StructType(
@@ -64,6 +61,10 @@ class LedgerTables:
     def rejects(self) -> str:
         return f"{self.root}/rejects"
 
+    @property
+    def pending(self) -> str:
+        return f"{self.root}/pending"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoint"
@@ -98,59 +99,109 @@ def _replace(frame: DataFrame, path: str) -> None:
     )
 
 
-def _read_below(
-    spark: SparkSession, path: str, schema: T.StructType, *folders: str
-) -> DataFrame:
-    """Only these folders of a partitioned table are listed and read."""
-    reader = spark.read.schema(schema).option("basePath", path)
-    return reader.parquet(*[f"{path}/{folder}" for folder in folders])
+def _dates_at_stake(
+    spark: SparkSession, transfers: DataFrame, batch_id: int, tables: LedgerTables
+) -> tuple[set[str], set[str]]:
+    """Dates of the batch now, and those of earlier tries; one value for each calendar day."""
+    now = {str(row["date"]) for row in transfers.select("date").distinct().collect()}
+    before = {
+        row["date"]
+        for row in partition_folders(spark, tables.transfers, "date", f"batch_id={batch_id}")
+    }
+    noted = partition_folders(spark, tables.pending, f"batch_id={batch_id}", "date")
+    return now, before | {row["date"] for row in noted}
+
 
+def _note(spark: SparkSession, batch_id: int, dates: set[str], tables: LedgerTables) -> None:
+    rows = spark.createDataFrame([(d, 1) for d in sorted(dates)], "date string, n int")
+    rows.write.mode("append").partitionBy("date").parquet(f"{tables.pending}/batch_id={batch_id}")
 
-def apply_batch(transfers: DataFrame, batch_id: int, tables: LedgerTables) -> None:
+
+def apply_batch(
+    transfers: DataFrame, batch_id: int, tables: LedgerTables, fan: int = FAN
+) -> None:
     """Stores one batch and brings the daily table up to date.
 
-    The batch is decoded once: its partials come from the stored transfers. Rows with a
-    ``reject_reason`` (see ``accepted_and_rejected``) are stored as rejects of the batch;
-    such a batch is staged first, so that both come from one pass.
-    Then the partials of the touched dates, and of no others, are merged. The
-    dates are the only thing that reaches the driver, one value per calendar
-    day. How often a day is merged depends on how many batches touch it, so a
-    batch should be about a day of blocks or more.
+    The batch is staged once; its transfers, rejects (rows with a ``reject_reason``, see
+    ``accepted_and_rejected``) and dates come from there, and its partials from the stored
+    transfers. Then the live runs of the dates at stake, and of no others, are merged. The
+    dates are the only thing that reaches the driver, one value per calendar day.
     """
     spark = transfers.sparkSession
-    number = F.lit(batch_id).cast("long")
+    staged = f"{tables.root}/staged/batch_id={batch_id}"
+    transfers.write.mode("overwrite").parquet(staged)
+    both = spark.read.schema(transfers.schema).parquet(staged)
+    good = both
     if "reject_reason" in transfers.columns:
-        staged = f"{tables.root}/staged/batch_id={batch_id}"
-        transfers.write.mode("overwrite").parquet(staged)
-        both = spark.read.schema(transfers.schema).parquet(staged)
         rejects = both.where(F.col("reject_reason").isNotNull()).select(*REJECTS.fieldNames())
         rejects.sortWithinPartitions("asset", *CHAIN_ORDER).write.mode("overwrite").parquet(
             f"{tables.rejects}/batch_id={batch_id}"
         )
         good = both.where(F.col("reject_reason").isNull()).select(*TRANSFERS.fieldNames())
-        apply_batch(good, batch_id, tables)
-        remove_folder(spark, staged)
+
+    now, before = _dates_at_stake(spark, good, batch_id, tables)
+    dates = now | before
+    if dates:
+        if before:
+            _note(spark, batch_id, dates, tables)
+        if now:
+            _replace(good.withColumn("batch_id", F.lit(batch_id).cast("long")), tables.transfers)
+        for date in before - now:
+            remove_folder(spark, f"{tables.transfers}/date={date}/batch_id={batch_id}")
+        _renew_runs(spark, batch_id, now, dates, tables)
+        _merge_days(spark, dates, compact(spark, tables.partials, dates, fan), tables)
+        remove_folder(spark, f"{tables.pending}/batch_id={batch_id}")
+    remove_folder(spark, staged)
+
+
+def _renew_runs(
+    spark: SparkSession, batch_id: int, now: set[str], dates: set[str], tables: LedgerTables
+) -> None:
+    """Runs of the dates at stake that hold the batch, from the stored transfers.
+
+    Where a merged run covers the batch, all its batches are read again for that date; else the
+    batch has a run of its own.
+    """
+    live = live_runs(stored_runs(spark, tables.partials, dates))
+    covering = {r.date: r for r in live if r.first <= batch_id <= r.last}
+    renewed = {d: covering.get(d) or Run(d, batch_id, batch_id, 0) for d in dates}
+    kept: dict[str, Run] = {}
+    folders = []
+    for date, run in renewed.items():
+        held = partition_folders(spark, tables.transfers, f"date={date}", "batch_id")
+        covered = [h for h in held if run.first <= int(h["batch_id"]) <= run.last]
+        if covered:
+            kept[date] = run
+            folders += [f"{tables.transfers}/date={date}/batch_id={h['batch_id']}" for h in covered]
+        else:
+            remove_folder(spark, f"{tables.partials}/{run.folder}")
+    if not kept:
         return
-    _replace(transfers.withColumn("batch_id", number), tables.transfers)
-    own = f"date=*/batch_id={batch_id}"
-    try:
-        stored = _read_below(spark, tables.transfers, _STORED_TRANSFERS, own)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return  # the batch held no transfers
-        raise
-    _replace(key_partials(stored).withColumn("batch_id", number), tables.partials)
-
-    dates = _read_below(spark, tables.partials, PARTIALS, own).select("date").distinct()
-    touched = [f"date={row.date}" for row in dates.collect()]
-    current = _read_below(spark, tables.partials, PARTIALS, *touched)
-    write_daily(count_partials(merge_partials(current)), tables.daily, "date")
+    stored = spark.read.schema(_STORED_TRANSFERS).option("basePath", tables.transfers)
+    rows = key_partials(stored.parquet(*folders).drop("batch_id"))
+    place = spark.createDataFrame(
+        [(d, r.level, r.first, r.last) for d, r in kept.items()],
+        "_date string, level int, first long, last long",
+    ).select(F.to_date("_date").alias("date"), "level", "first", "last")
+    write_runs(rows.join(F.broadcast(place), "date"), tables.partials)
+
+
+def _merge_days(
+    spark: SparkSession, dates: set[str], live: list[Run], tables: LedgerTables
+) -> None:
+    """Daily rows of these dates from their live runs; a date without any has none."""
+    for date in dates - {r.date for r in live}:
+        remove_folder(spark, f"{tables.daily}/date={date}")
+    if live:
+        current = read_runs(spark, tables.partials, live)
+        write_daily(count_partials(merge_partials(current)), tables.daily, "date")
 
 
 def run_incremental(
     source: DataFrame,
     tables: LedgerTables,
     to_transfers: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    fan: int = FAN,
 ) -> None:
     """Processes everything a streaming source holds now, then stops.
 
@@ -160,7 +211,7 @@ def run_incremental(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(to_transfers(batch), batch_id, tables)
+        apply_batch(to_transfers(batch), batch_id, tables, fan)
 
     query = (
         source.writeStream.foreachBatch(handle)

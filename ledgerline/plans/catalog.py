@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import block_key, epoch_date, whole_number
-from ledgerline.operators import contacts, decode, report, rollups, totals
+from ledgerline.operators import contacts, decode, report, rollups, sketches, totals
 from ledgerline.plans import jobs, standin
 from ledgerline.schemas import TRANSFERS
 from ledgerline.session import working_folder
@@ -26,6 +26,7 @@ from ledgerline.streaming.incremental import (
     stored_daily,
     stored_rejects,
 )
+from ledgerline.streaming.stateful import StateTables, run_stateful, state_daily
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -464,6 +465,46 @@ def incremental_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(stored_daily(spark, tables))
 
 
+def _landed_stream(spark: SparkSession, sf_dir: str, folder: str, files: int) -> DataFrame:
+    """The ledger landed as files that each have rows for every date, taken in three at a time."""
+    landed = f"{folder}/landed"
+    _table_shape(spark, sf_dir).repartition(files, "tx_hash").write.parquet(landed)
+    reader = spark.readStream.schema(spark.read.parquet(landed).schema)
+    return reader.option("maxFilesPerTrigger", 3).parquet(landed)
+
+
+def stateful_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six files through the state store."""
+    folder = working_folder(spark, "stateful")
+    tables = StateTables(f"{folder}/figures")
+    run_stateful(_landed_stream(spark, sf_dir, folder, 6), tables)
+    return comparable(state_daily(spark, tables))
+
+
+def address_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unions of stored daily sketches by month and whole range, beside the exact counts.
+
+    An estimate must lie within four standard errors (and one address) of the exact count.
+    """
+    folder = working_folder(spark, "sketches")
+    rows = standin.plain_ledger(spark, sf_dir)
+    sketches.write_sketches(sketches.address_sketches(rows), folder)
+    stored = sketches.read_sketches(spark, folder)
+
+    def ranged(frame: DataFrame, span: Column) -> DataFrame:
+        return frame.withColumn("span", span)
+
+    def checked(span: Column) -> DataFrame:
+        by = ("asset", "span")
+        guess = sketches.estimated(sketches.unite_sketches(ranged(stored, span), by))
+        exact = rollups.address_stats(ranged(rows, span), by)
+        error = F.abs(F.col("estimated_addresses") - F.col("different_addresses"))
+        allowed = F.lit(4 * sketches.standard_error()) * F.col("different_addresses") + 1
+        return exact.join(guess, list(by)).select(*by, "different_addresses", (error <= allowed).alias("close"))
+
+    return checked(F.date_format("date", "yyyy-MM")).union(checked(F.lit("all")))
+
+
 QUERIES: dict[str, Query] = {
     "decode_transfers": decode_transfers,
     "decode_with_headers": decode_with_headers,
@@ -509,4 +550,6 @@ QUERIES: dict[str, Query] = {
     "incremental_raw": incremental_raw,
     "incremental_levels": incremental_levels,
     "incremental_replay": incremental_replay,
+    "stateful_daily": stateful_daily,
+    "address_estimates": address_estimates,
 }

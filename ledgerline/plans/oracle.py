@@ -322,4 +322,12 @@ WITH {_EVENTS}, months AS (
 WITH {_EVENTS}, kept AS (
   SELECT * FROM ledger WHERE NOT (event_id % 4 = 1 AND day("date") % 2 = 1)
 ) {_stats('asset, "date"', "kept")}""",
+    "stateful_daily": f"WITH {_EVENTS} {_DAILY}",
+    "address_estimates": f"""
+WITH {_EVENTS}, spans AS (
+  SELECT *, strftime("date", '%Y-%m') AS span FROM ledger UNION ALL SELECT *, 'all' FROM ledger
+)
+SELECT asset, span, COUNT(DISTINCT party) AS different_addresses, TRUE AS close
+FROM (SELECT asset, span, f AS party FROM spans UNION ALL SELECT asset, span, t FROM spans) p
+GROUP BY asset, span""",
 }

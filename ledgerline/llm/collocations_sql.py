@@ -14,16 +14,19 @@ WITH docs AS (
 ), grams AS (
   SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g
   FROM lists, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k
-), f AS (
+), f AS MATERIALIZED (
   SELECT lang, k, g, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30
 ), candidates AS (
   SELECT lang, k AS size, g, f AS a FROM f WHERE k > 1
-), cuts AS (
-  SELECT c.lang, c.g, c.a, x.k, l.f AS l, r.f AS r,
-    ((2000000::HUGEINT * c.a) // (l.f::HUGEINT + r.f))::BIGINT AS score
+), parts AS MATERIALIZED (
+  SELECT c.*, x.k, c.g[1:x.k] AS first_part, c.g[x.k + 1:c.size] AS rest
   FROM candidates c JOIN (SELECT unnest([1, 2, 3]) AS k) x ON x.k < c.size
-  JOIN f l ON l.lang = c.lang AND l.g = c.g[1:x.k]
-  JOIN f r ON r.lang = c.lang AND r.g = c.g[x.k + 1:c.size]
+), firsts AS MATERIALIZED (
+  SELECT p.*, f.f AS l FROM parts p JOIN f ON f.lang = p.lang AND f.g = p.first_part
+), cuts AS (
+  SELECT p.lang, p.g, p.a, p.k, p.l, f.f AS r,
+    ((2000000::HUGEINT * p.a) // (p.l::HUGEINT + f.f))::BIGINT AS score
+  FROM firsts p JOIN f ON f.lang = p.lang AND f.g = p.rest
 ), worst AS (
   SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
 ), around AS (

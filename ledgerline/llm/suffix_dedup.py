@@ -30,7 +30,7 @@ text are not looked at.
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +47,7 @@ TOKEN = 32  # bytes of the leading token
 PIECE = 1 << 20  # bytes of text looked at at once
 HELD = 8 << 20  # bytes of blocks held to find equal ones
 MOST_BITS = 1 << 28  # of the bitmap, 32 MB
-BUCKET = 16 << 20  # bytes of blocks in a bucket, unless that makes too many
+BUCKET = 16 << 20  # bytes of blocks in a partition of buckets, unless that makes too many
 MOST_BUCKETS = 1 << 17
 SAMPLES = 64  # sampled suffixes for each bucket
 MOST_SAMPLES = 1 << 19
@@ -244,9 +244,10 @@ def _splitters(blocks: DataFrame, length: int, buckets: int, rows: int) -> list[
     def keys(batches):
         for batch in batches:
             found = []
-            for c1, c2, distance, body in zip(*(batch.column(c).to_pylist() for c in ("c1", "c2", "distance", "body"))):
+            columns = (batch.column(c).to_pylist() for c in ("c1", "c2", "distance", "body"))
+            for number, (c1, c2, distance, body) in enumerate(zip(*columns)):
                 count = len(body) - length + 1
-                own = _own(c1, c2, 0)
+                own = _own(c1, c2, number)
                 suffix = int.from_bytes(own[:4], "big") % count
                 found.append(_key(body, suffix, distance + count - 1 - suffix, length, own))
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["key"])
@@ -256,14 +257,16 @@ def _splitters(blocks: DataFrame, length: int, buckets: int, rows: int) -> list[
     ordered = sorted(bytes(r["key"]) for r in sample.collect())
     cuts, before = [], b""
     for i in range(1, buckets):
-        j = i * len(ordered) // buckets
-        if 0 < j < len(ordered) and ordered[j] > ordered[j - 1]:
-            low, high = ordered[j - 1], ordered[j]
-            same = next((x for x, (a, b) in enumerate(zip(low, high)) if a != b), len(low))
-            cut = high[: same + 1]
-            if cut > before:
-                cuts.append(cut)
-                before = cut
+        # of equal keys, as of one content in several slices, the first
+        j = bisect_left(ordered, ordered[i * len(ordered) // buckets]) if ordered else 0
+        if j == 0:
+            continue
+        low, high = ordered[j - 1], ordered[j]
+        same = next(x for x, (a, b) in enumerate(zip(low, high)) if a != b)
+        cut = high[: same + 1]
+        if cut > before:
+            cuts.append(cut)
+            before = cut
     return cuts
 
 
@@ -438,13 +441,15 @@ def repeated_spans(documents: DataFrame, length: int, work: WorkTables) -> DataF
         texts.mapInArrow(_candidate_blocks(length, bitmap), BLOCKS), "blocks"
     )
     rows, size = blocks.agg(F.count("*"), F.sum(F.length("body"))).first()
-    buckets = min(MOST_BUCKETS, max(wide(spark), -(-(size or 0) // BUCKET)))
+    # several buckets for each partition, so that partitions come out even
+    partitions = min(MOST_BUCKETS // 4, max(wide(spark), -(-(size or 0) // BUCKET)))
+    buckets = 4 * partitions
     cuts = spark.sparkContext.broadcast(_splitters(blocks, length, buckets, rows))
     routed = blocks.select("c1", "c2", "distance", "copies", "body").mapInArrow(
         _router(length, cuts), ROUTED
     )
     verdicts = work.store(
-        routed.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_sort_bucket(length), VERDICTS),
+        routed.repartition(partitions, "bucket").groupBy("bucket").applyInArrow(_sort_bucket(length), VERDICTS),
         "verdicts",
     )
     runs = verdicts.where("side IS NULL").select("c1", "c2", "begin", "end").distinct()

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.sizing import fits_broadcast, left_lookup
+from ledgerline.operators.sizing import fits_broadcast, key_filter, left_lookup, may_match
 from ledgerline.sources.registry import CONTRACTS, contract_addresses
 
 FLAGS = {"defi": "is_defi_transaction", "rollup": "is_rollup_transaction"}
@@ -48,9 +48,31 @@ def flag_contacts_from_table(
 
     ``broadcast`` is decided by measuring the table unless given; repeated
     addresses count in that measure, so it errs on the side of shuffling.
+    A table that is too large is probed first through a filter of bounded size:
+    only transfers that may touch a contract are moved, the rest has its flags
+    where it lies.
     """
     if broadcast is None:
         broadcast = fits_broadcast(dimension, "address")
+    if broadcast:
+        return _looked_up(transfers, dimension, categories, True)
+    possible, rest = _possible_contacts(transfers, dimension)
+    found = _looked_up(possible, dimension, categories, False)
+    return found.unionByName(rest.withColumns({flag: F.lit(False) for flag in categories.values()}))
+
+
+def _possible_contacts(transfers: DataFrame, dimension: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Transfers that may have a listed address on a side, and those that have none for sure."""
+    words, size = key_filter(dimension.select(F.lower("address").alias("address")), "address")
+    sides = {f"_may_{side}": F.lower(side) for side in ("from", "to")}
+    probed = may_match(transfers, sides, words, size)
+    either = F.col("_may_from") | F.col("_may_to")
+    return probed.where(either).drop(*sides), probed.where(~either).drop(*sides)
+
+
+def _looked_up(
+    transfers: DataFrame, dimension: DataFrame, categories: Mapping[str, str], broadcast: bool
+) -> DataFrame:
     by_address = dimension.groupBy(F.lower("address").alias("_address")).agg(
         *[F.bool_or(F.col("category") == c).alias(f"_{c}") for c in categories]
     )
@@ -78,5 +100,9 @@ def touching(
     to hash on and would become a nested loop.
     """
     listed = addresses.select(F.lit("listed").alias("category"), "address")
-    marked = flag_contacts_from_table(transfers, listed, {"listed": "_listed"}, broadcast)
+    if broadcast is None:
+        broadcast = fits_broadcast(listed, "address")
+    if not broadcast:
+        transfers, _ = _possible_contacts(transfers, listed)
+    marked = _looked_up(transfers, listed, {"listed": "_listed"}, broadcast)
     return marked.where("_listed").drop("_listed")

@@ -70,10 +70,11 @@ def count_partials(partials: DataFrame, by: Sequence[str] = DAILY_KEYS) -> DataF
         F.count_if(F.col("defi")).alias("defi_transaction_count"),
         F.count_if(F.col("rollup")).alias("rollup_transaction_count"),
     )
-    return _ordered(stats, by)
+    return stats_columns(stats, by)
 
 
-def _ordered(stats: DataFrame, by: Sequence[str]) -> DataFrame:
+def stats_columns(stats: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The columns of statistics in their order, with the average."""
     return stats.select(
         *by,
         "total_volume",
@@ -128,7 +129,7 @@ def ledger_stats(
     if single_pass:
         return count_partials(key_partials(transfers, by), by)
     stats = transaction_stats(transfers, by).join(address_stats(transfers, by), list(by))
-    return _ordered(stats, by)
+    return stats_columns(stats, by)
 
 
 def daily_stats(transfers: DataFrame, single_pass: bool = False) -> DataFrame:
@@ -151,6 +152,25 @@ def daily_and_overall(partials: DataFrame) -> tuple[DataFrame, DataFrame]:
     return daily, overall
 
 
+def stats_by_sets(transfers: DataFrame) -> DataFrame:
+    """Daily and whole-range statistics from one scan: ``is_total`` rows have no date.
+
+    Keys are folded by asset and day first. The grouping sets then take folded rows and not
+    transfers, once with and once without the date.
+    """
+    by = ("asset", "date", "is_tx", "key")
+    sets = key_partials(transfers).groupingSets([list(by), ["asset", "is_tx", "key"]], *by)
+    folded = sets.agg(
+        F.grouping("date").alias("_total"),
+        F.sum("volume").alias("volume"),
+        F.sum("transfers").alias("transfers"),
+        F.bool_or("defi").alias("defi"),
+        F.bool_or("rollup").alias("rollup"),
+    )
+    marked = folded.withColumn("is_total", F.col("_total") == 1)
+    return count_partials(marked, ("asset", "date", "is_total"))
+
+
 # The four functions below compute single figures with the least work each one
 # needs; use daily_stats for several together.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.fixed_values import CHUNK_BLOCKS, END_BLOCK, START_BLOCK
@@ -64,6 +64,54 @@ def missing_blocks(
     return block_spine(spark, start, end).join(present, "block_number", "left_anti")
 
 
+GAP_BLOCKS = 1 << 15
+
+
+def missing_intervals(
+    headers: DataFrame,
+    start: int = START_BLOCK,
+    end: int = END_BLOCK,
+    stretch: int = GAP_BLOCKS,
+) -> DataFrame:
+    """Gaps of the inclusive range: ``first_block, last_block, blocks``, without a spine.
+
+    Blocks are gathered by stretches of ``stretch`` numbers, which folds headers that landed more
+    than once on the map side and bounds what a task holds. Gaps inside a stretch are seen there.
+    A gap that runs over a border is carried: the first and last block of each stretch that has
+    any, a row for every 32,768 blocks, are put in order once, between ``start`` and ``end``.
+    """
+    within = headers.where(
+        F.col("timestamp").isNotNull() & F.col("block_number").between(start, end)
+    )
+    number = F.floor((F.col("block_number") - start) / stretch).cast("long")
+    held = within.groupBy(number.alias("stretch")).agg(
+        F.sort_array(F.collect_set("block_number")).alias("b")
+    )
+    neighbours = F.zip_with(
+        F.slice("b", 1, F.size("b") - 1),
+        F.slice("b", 2, F.size("b") - 1),
+        lambda low, high: F.struct((low + 1).alias("first_block"), (high - 1).alias("last_block")),
+    )
+    gap = F.col("first_block") <= F.col("last_block")
+    inner = held.select(F.inline(neighbours)).where(gap)
+
+    spark = headers.sparkSession
+    edges = held.select(F.get("b", F.lit(0)).alias("low"), F.get("b", F.size("b") - 1).alias("high"))
+    outside = spark.range(1).select(
+        F.inline(F.array(*[
+            F.struct(F.lit(low).cast("long").alias("low"), F.lit(high).cast("long").alias("high"))
+            for low, high in ((start - 1, start - 1), (end + 1, end + 1))
+        ]))
+    )
+    order = Window.orderBy("low")
+    borders = edges.union(outside).select(
+        (F.lag("high").over(order) + 1).alias("first_block"), (F.col("low") - 1).alias("last_block")
+    ).where(F.col("first_block").isNotNull() & gap)
+    return inner.union(borders).withColumn(
+        "blocks", F.col("last_block") - F.col("first_block") + 1
+    )
+
+
 def block_coverage(
     spark: SparkSession,
     headers: DataFrame,

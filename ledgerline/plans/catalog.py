@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import block_key, epoch_date, whole_number
-from ledgerline.operators import contacts, decode, report, rollups, sketches, totals
+from ledgerline.operators import bitmaps, contacts, decode, report, rollups, sketches, totals
 from ledgerline.plans import jobs, standin
 from ledgerline.schemas import TRANSFERS
 from ledgerline.session import working_folder
@@ -505,6 +505,35 @@ def address_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked(F.date_format("date", "yyyy-MM")).union(checked(F.lit("all")))
 
 
+def overall_stats_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items by bitmaps: stored by day in two halves of the orders, then united."""
+    tables = bitmaps.BitmapTables(working_folder(spark, "bitmaps"))
+    rows = standin.ledger_li(spark, sf_dir).withColumn("block_number", F.unix_date("date"))
+    early = F.year("date") < 1995
+    for half in (early, ~early):
+        bitmaps.store_days(rows.where(half), tables, period="year")
+    return comparable(bitmaps.bitmap_stats(*bitmaps.read_days(spark, tables)))
+
+
+def stats_by_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(rollups.stats_by_sets(standin.ledger_li(spark, sf_dir)))
+
+
+def category_flags_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As for a contract table too large to broadcast: probed, then looked up."""
+    flagged = contacts.flag_contacts_from_table(
+        standin.plain_ledger_li(spark, sf_dir), standin.supplier_dimension(spark, sf_dir), broadcast=False
+    )
+    return flagged.select("tx_hash", "from", "amount", "is_defi_transaction", "is_rollup_transaction")
+
+
+def missing_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In stretches of seven blocks, so that gaps run over their borders."""
+    headers = standin.raw_headers(spark, sf_dir)
+    start, end = _block_range(spark, sf_dir)
+    return totals.missing_intervals(headers.union(headers), start - 20, end + 3, stretch=7)
+
+
 QUERIES: dict[str, Query] = {
     "decode_transfers": decode_transfers,
     "decode_with_headers": decode_with_headers,
@@ -552,4 +581,8 @@ QUERIES: dict[str, Query] = {
     "incremental_replay": incremental_replay,
     "stateful_daily": stateful_daily,
     "address_estimates": address_estimates,
+    "overall_stats_bitmap": overall_stats_bitmap,
+    "stats_by_sets": stats_by_sets,
+    "category_flags_filtered": category_flags_filtered,
+    "missing_intervals": missing_intervals,
 }

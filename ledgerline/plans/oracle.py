@@ -330,4 +330,17 @@ WITH {_EVENTS}, spans AS (
 SELECT asset, span, COUNT(DISTINCT party) AS different_addresses, TRUE AS close
 FROM (SELECT asset, span, f AS party FROM spans UNION ALL SELECT asset, span, t FROM spans) p
 GROUP BY asset, span""",
+    "overall_stats_bitmap": f"WITH {_LINE_ITEMS} {_stats('asset')}",
+    "stats_by_sets": f"""
+WITH {_LINE_ITEMS}, daily AS ({_DAILY}), overall AS ({_stats('asset')})
+SELECT *, FALSE AS is_total FROM daily
+UNION ALL BY NAME SELECT *, CAST(NULL AS DATE) AS "date", TRUE AS is_total FROM overall""",
+    "missing_intervals": f"""
+WITH {_EVENTS},
+spine AS (SELECT unnest(range(lo, hi + 1)) AS b
+  FROM (SELECT min(block_number) - 20 AS lo, max(block_number) + 3 AS hi FROM ev)),
+absent AS (SELECT b, b - row_number() OVER (ORDER BY b) AS island FROM spine
+  WHERE b NOT IN (SELECT block_number FROM ledger WHERE {_TIMED}))
+SELECT min(b) AS first_block, max(b) AS last_block, COUNT(*) AS blocks FROM absent GROUP BY island""",
 }
+ORACLE["category_flags_filtered"] = ORACLE["category_flags_dim"]

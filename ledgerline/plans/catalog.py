@@ -10,8 +10,15 @@ from pyspark.sql import functions as F
 from ledgerline.functions import block_key, epoch_date, whole_number
 from ledgerline.operators import bitmaps, contacts, decode, report, rollups, sketches, totals
 from ledgerline.plans import jobs, standin
-from ledgerline.schemas import TRANSFERS
+from ledgerline.schemas import BLOCKS, TRANSFERS
 from ledgerline.session import working_folder
+from ledgerline.sinks.blocks import (
+    attach_bucketed_time,
+    hot_blocks,
+    read_block_ranges,
+    write_block_ranges,
+    write_bucketed,
+)
 from ledgerline.sinks.csv_export import daily_export_view, export_daily_csv, export_transfers_csv
 from ledgerline.sinks.folders import partition_folders
 from ledgerline.sinks.tables import write_daily, write_transfers
@@ -431,11 +438,11 @@ def incremental_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.join(rejects, "asset", "full")
 
 
-BATCHES = 50
+BATCHES = 16
 
 
 def incremental_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole ledger, dated by its month, in fifty batches that all touch the same dates."""
+    """The whole ledger, dated by its month, in sixteen batches that all touch the same dates, to two levels of merged runs."""
     folder = working_folder(spark, "incremental-levels")
     landed = f"{folder}/landed"
     month = F.trunc("date", "month").alias("date")
@@ -534,6 +541,30 @@ def missing_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.missing_intervals(headers.union(headers), start - 20, end + 3, stretch=7)
 
 
+def block_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks stored by ranges of forty and read back for the middle third of their numbers."""
+    folder = working_folder(spark, "ranges")
+    write_block_ranges(standin.raw_blocks(spark, sf_dir).drop("event_id"), folder, 40)
+    low, high = _block_range(spark, sf_dir)
+    third = (high - low) // 3
+    rows = read_block_ranges(spark, folder, BLOCKS, low + third, high - third)
+    return rows.groupBy("block_number").agg(
+        F.count("*").alias("records"), F.sum(F.size("receipts")).alias("receipts")
+    )
+
+
+def block_time_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The header join over buckets, with its crowded blocks apart."""
+    folder = working_folder(spark, "buckets")
+    name = "ledgerline_" + folder.rsplit("-", 1)[-1]
+    receipts = write_bucketed(standin.raw_receipts(spark, sf_dir), f"{name}_receipts", f"{folder}/receipts", 8)
+    headers = standin.raw_headers(spark, sf_dir)
+    twice = headers.union(headers.where(F.col("block_number") % 5 == 0))
+    stored = write_bucketed(twice, f"{name}_headers", f"{folder}/headers", 8)
+    events = decode.transfer_events(decode.explode_logs(receipts)).select("event_id", "block_number")
+    return attach_bucketed_time(events, stored, hot_blocks(receipts))
+
+
 QUERIES: dict[str, Query] = {
     "decode_transfers": decode_transfers,
     "decode_with_headers": decode_with_headers,
@@ -585,4 +616,6 @@ QUERIES: dict[str, Query] = {
     "stats_by_sets": stats_by_sets,
     "category_flags_filtered": category_flags_filtered,
     "missing_intervals": missing_intervals,
+    "block_layout": block_layout,
+    "block_time_bucketed": block_time_bucketed,
 }

@@ -342,5 +342,11 @@ spine AS (SELECT unnest(range(lo, hi + 1)) AS b
 absent AS (SELECT b, b - row_number() OVER (ORDER BY b) AS island FROM spine
   WHERE b NOT IN (SELECT block_number FROM ledger WHERE {_TIMED}))
 SELECT min(b) AS first_block, max(b) AS last_block, COUNT(*) AS blocks FROM absent GROUP BY island""",
+    "block_layout": f"""
+WITH {_EVENTS}, ends AS (SELECT min(block_number) AS lo, max(block_number) AS hi FROM ev)
+SELECT block_number, COUNT(*) AS records, COUNT(*) * 3 AS receipts
+FROM ledger, ends
+WHERE block_number BETWEEN lo + (hi - lo) // 3 AND hi - (hi - lo) // 3 GROUP BY block_number""",
 }
+ORACLE["block_time_bucketed"] = ORACLE["block_time_join"]
 ORACLE["category_flags_filtered"] = ORACLE["category_flags_dim"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions import block_key, epoch_date, whole_number
+from ledgerline.functions import block_key, epoch_date, money_text, whole_number
 from ledgerline.operators import bitmaps, contacts, decode, report, rollups, sketches, totals
 from ledgerline.plans import jobs, standin
 from ledgerline.schemas import BLOCKS, TRANSFERS
@@ -236,7 +236,7 @@ def daily_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_stats_li(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(rollups.daily_stats(standin.ledger_li(spark, sf_dir), single_pass=True))
+    return comparable(rollups.daily_stats(standin.ledger_li(spark, sf_dir)))
 
 
 def daily_stats_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,7 +250,7 @@ def overall_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def overall_stats_li(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(rollups.overall_stats(standin.ledger_li(spark, sf_dir), single_pass=True))
+    return comparable(rollups.overall_stats(standin.ledger_li(spark, sf_dir)))
 
 
 def transfers_per_asset(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -565,6 +565,67 @@ def block_time_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attach_bucketed_time(events, stored, hot_blocks(receipts))
 
 
+def overall_euro(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole-range figures where the token of purchases is the euro one."""
+    tokens = [(a, c, d, "EURC" if a == "purchase" else s, e) for a, c, d, s, e in standin.token_rows()]
+    stats = rollups.overall_stats(standin.ledger(spark, sf_dir))
+    labelled = totals.with_labels(stats, token_registry(spark, None, tokens))
+    shown = F.concat("currency", money_text(F.col("total_volume"))).alias("shown_volume")
+    return labelled.select("asset", "symbol", "currency", "transfer_count", shown)
+
+
+def series_lacking_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chart points of files that lack columns."""
+    daily = read_daily_csv(spark, _uneven_daily_csv(spark, sf_dir))
+    series = report.chart_series(daily)
+    return series.withColumn("log10_value", F.round("log10_value", 9))
+
+
+def summary_lacking_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary figures of files that lack columns."""
+    daily = read_daily_csv(spark, _uneven_daily_csv(spark, sf_dir))
+    return report.summary_stats(daily).select(
+        "asset", "days", F.round("total_volume", 2).alias("total_volume"), "total_transactions",
+        "max_daily_addresses", "max_daily_defi_transactions", "max_daily_rollup_transactions",
+        *[
+            whole_number(F.col(f"avg_daily_{m}")).alias(f"avg_daily_{m}")
+            for m in ("addresses", "defi_transactions", "rollup_transactions")
+        ],
+    )
+
+
+def _odd_daily_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Daily CSV with a quoted note full of commas; a figure of some assets is no number."""
+    folder = working_folder(spark, "odd")
+    daily = rollups.ledger_stats(standin.ledger(spark, sf_dir), rollups.DAILY_KEYS)
+    write_daily(daily, f"{folder}/table")
+    stored = spark.read.parquet(f"{folder}/table")
+    first = F.col("date") == F.lit(stored.agg(F.min("date")).first()[0])
+    spoilt = {"view": "total_volume_view", "signup": "transfer_count", "error": "different_addresses"}
+    for asset in standin.ASSETS:
+        view = daily_export_view(stored, asset).withColumn("note", F.lit('a, "b", c'))
+        if asset in spoilt:
+            column = spoilt[asset]
+            # an empty figure is missing and no fault
+            odd = F.lit("") if asset == "error" else F.lit("1,234.50")
+            view = view.withColumn(column, F.when(first, odd).otherwise(F.col(column).cast("string")))
+        front = ["note", *[c for c in view.columns if c != "note"]]
+        writer = view.select(front).coalesce(1).write.option("header", True).option("escape", '"')
+        writer.csv(f"{folder}/{asset}_daily_stats.csv")
+    return f"{folder}/*_daily_stats.csv"
+
+
+def odd_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on each file with the rows and figures that are read from it."""
+    paths = _odd_daily_csv(spark, sf_dir)
+    rows = read_daily_csv(spark, paths).groupBy("asset").agg(
+        F.count("*").alias("days"),
+        F.sum("transfer_count").alias("transfers"),
+        F.count("different_addresses").alias("days_with_addresses"),
+    )
+    return daily_csv_files(spark, paths).select("asset", "reason").join(rows, "asset", "left")
+
+
 QUERIES: dict[str, Query] = {
     "decode_transfers": decode_transfers,
     "decode_with_headers": decode_with_headers,
@@ -616,6 +677,10 @@ QUERIES: dict[str, Query] = {
     "stats_by_sets": stats_by_sets,
     "category_flags_filtered": category_flags_filtered,
     "missing_intervals": missing_intervals,
+    "overall_euro": overall_euro,
+    "series_lacking_metrics": series_lacking_metrics,
+    "summary_lacking_metrics": summary_lacking_metrics,
+    "odd_figures": odd_figures,
     "block_layout": block_layout,
     "block_time_bucketed": block_time_bucketed,
 }

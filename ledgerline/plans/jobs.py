@@ -22,12 +22,7 @@ from ledgerline.operators.totals import block_coverage, chunk_counts, transfers_
 from ledgerline.schemas import DAILY, REJECTS, TRANSFERS
 from ledgerline.sinks.csv_export import export_daily_csv, export_transfers_csv
 from ledgerline.sinks.folders import remove_folder
-from ledgerline.sinks.tables import (
-    clear_assets,
-    replace_asset,
-    write_daily,
-    write_series,
-)
+from ledgerline.sinks.tables import replace_assets, replace_daily, write_series
 from ledgerline.sources.daily_csv import daily_csv_files, read_daily_csv
 from ledgerline.sources.registry import CONTRACTS, select_tokens, token_registry
 from ledgerline.sources.transfers import read_transfers
@@ -107,10 +102,11 @@ def extract(
     """Decodes landed blocks into ``root`` and computes their daily statistics.
 
     One pass decodes the blocks into a staged table of transfers and rejects;
-    from there, asset by asset, transfers, rejects (with their reason, below
-    ``root/rejects``) and daily statistics take the place of what the selected
-    assets had. Other assets are not touched, nothing is replaced before the
-    pass has succeeded, and an asset without rows ends up with none. The staged
+    from there, in one write each for all selected assets, transfers, rejects
+    (with their reason, below ``root/rejects``) and daily statistics take the
+    place of what these had. Other assets are not touched, nothing is replaced
+    before the pass has succeeded, what is left over is removed after the new
+    rows are written, and an asset without rows ends up with none. The staged
     table is removed at the end.
     """
     spark = receipts.sparkSession
@@ -123,15 +119,9 @@ def extract(
     staged = spark.read.schema(both.schema).parquet(folder)
     good = staged.where(F.col("reject_reason").isNull())
     bad = staged.where(F.col("reject_reason").isNotNull())
-    for asset in chosen:
-        of_asset = F.col("asset") == asset
-        transfers = good.where(of_asset).select(*TRANSFERS.fieldNames()).drop("asset")
-        replace_asset(transfers, ledger.transfers_path, asset, CHAIN_ORDER)
-        rejects = bad.where(of_asset).select("date", *REJECTS.fieldNames()).drop("asset")
-        replace_asset(rejects, ledger.rejects_path, asset, CHAIN_ORDER)
-    daily = ledger_stats(ledger.transfers(), DAILY_KEYS)
-    clear_assets(spark, ledger.daily_path, chosen)
-    write_daily(daily, ledger.daily_path)
+    replace_assets(good.select(*TRANSFERS.fieldNames()), ledger.transfers_path, chosen, CHAIN_ORDER)
+    replace_assets(bad.select("date", *REJECTS.fieldNames()), ledger.rejects_path, chosen, CHAIN_ORDER)
+    replace_daily(ledger_stats(ledger.transfers(), DAILY_KEYS), ledger.daily_path, chosen)
     remove_folder(spark, folder)
     return ledger
 

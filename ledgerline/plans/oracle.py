@@ -73,6 +73,14 @@ FROM (
 _DAILY = _stats('asset, "date"')
 _WITH_DAILY = f"WITH {_EVENTS}, daily AS ({_DAILY})"
 
+# what is read from files that lack columns
+_WITH_LACKING = f"""WITH {_EVENTS}, whole AS ({_DAILY}), lacking AS (
+  SELECT * REPLACE (
+    CASE WHEN asset <> 'click' THEN different_addresses END AS different_addresses,
+    CASE WHEN asset <> 'purchase' THEN defi_transaction_count END AS defi_transaction_count,
+    CASE WHEN asset <> 'purchase' THEN rollup_transaction_count END AS rollup_transaction_count)
+  FROM whole WHERE asset <> 'error')"""
+
 # Logs that survive each step; the spoilt ones are described at raw_receipts.
 _SIGNED = "t < 90"
 _TWO_PARTIES = "t < 80"
@@ -342,6 +350,38 @@ spine AS (SELECT unnest(range(lo, hi + 1)) AS b
 absent AS (SELECT b, b - row_number() OVER (ORDER BY b) AS island FROM spine
   WHERE b NOT IN (SELECT block_number FROM ledger WHERE {_TIMED}))
 SELECT min(b) AS first_block, max(b) AS last_block, COUNT(*) AS blocks FROM absent GROUP BY island""",
+    "overall_euro": f"""
+WITH {_EVENTS}
+SELECT asset, CASE WHEN asset = 'purchase' THEN 'EURC' ELSE upper(asset) END AS symbol,
+       CASE WHEN asset = 'purchase' THEN '€' ELSE '$' END AS currency,
+       COUNT(*) AS transfer_count,
+       CASE WHEN asset = 'purchase' THEN '€' ELSE '$' END || format('{{:.2f}}', SUM(amount)) AS shown_volume
+FROM ledger GROUP BY asset""",
+    "series_lacking_metrics": f"""
+{_WITH_LACKING}, daily AS (SELECT * FROM lacking), series AS ({_SERIES})
+SELECT *, CASE WHEN value > 0 THEN round(log10(value), 9) END AS log10_value
+FROM series WHERE value IS NOT NULL""",
+    "summary_lacking_metrics": f"""
+{_WITH_LACKING}
+SELECT asset, COUNT(*) AS days, round(SUM(total_volume), 2) AS total_volume,
+       CAST(SUM(transaction_count) AS BIGINT) AS total_transactions,
+       MAX(different_addresses) AS max_daily_addresses,
+       MAX(defi_transaction_count) AS max_daily_defi_transactions,
+       MAX(rollup_transaction_count) AS max_daily_rollup_transactions,
+       round_even(AVG(different_addresses), 0) AS avg_daily_addresses,
+       round_even(AVG(defi_transaction_count), 0) AS avg_daily_defi_transactions,
+       round_even(AVG(rollup_transaction_count), 0) AS avg_daily_rollup_transactions
+FROM lacking GROUP BY asset""",
+    "odd_figures": f"""
+{_WITH_DAILY}
+SELECT asset,
+       CASE asset WHEN 'view' THEN 'a figure is no number: total_volume_view'
+         WHEN 'signup' THEN 'a figure is no number: transfer_count' END AS reason,
+       CASE WHEN asset NOT IN ('view', 'signup') THEN COUNT(*) END AS days,
+       CASE WHEN asset NOT IN ('view', 'signup') THEN CAST(SUM(transfer_count) AS BIGINT) END AS transfers,
+       CASE WHEN asset NOT IN ('view', 'signup') THEN COUNT(*) FILTER (WHERE NOT (
+         asset = 'error' AND "date" = (SELECT min("date") FROM daily))) END AS days_with_addresses
+FROM daily GROUP BY asset""",
     "block_layout": f"""
 WITH {_EVENTS}, ends AS (SELECT min(block_number) AS lo, max(block_number) AS hi FROM ev)
 SELECT block_number, COUNT(*) AS records, COUNT(*) * 3 AS receipts

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ledgerline.sinks.folders import partition_folders, remove_folder
 
 PARTITIONS = ("asset", "date")
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def write_transfers(transfers: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -41,34 +45,38 @@ def write_series(series: DataFrame, path: str) -> None:
     _write(rows.sortWithinPartitions("metric", "asset", "date"), path, "overwrite", ("metric",))
 
 
-def clear_assets(spark: SparkSession, path: str, assets: Iterable[str]) -> None:
-    """Empties the partitions of some assets and leaves the others alone.
+def replace_assets(
+    rows: DataFrame, path: str, assets: Iterable[str], order: Sequence[str]
+) -> None:
+    """Puts ``rows`` of several assets in place of all that these had, in one write.
 
-    An empty static overwrite per asset; there are as many as selected tokens.
+    New dates and those that come again are written first, by asset and date; dates of these
+    assets that are not among them are removed after that. Other assets are not touched. Rows
+    must come from another folder.
     """
-    nothing = spark.createDataFrame([], "date date, n int")
+    spark = rows.sparkSession
+    ordered = rows.hint("rebalance", *PARTITIONS).sortWithinPartitions(*PARTITIONS, *order)
+    # a date without rows has no folder; there are as many folders as days of an asset
+    place = F.coalesce(F.col("date").cast("string"), F.lit(_NO_VALUE)).alias("date")
+    new = {(r["asset"], r["date"]) for r in rows.select("asset", place).distinct().collect()}
+    _write(ordered, path, "overwrite", PARTITIONS)
     for asset in assets:
-        (
-            nothing.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("date")
-            .parquet(f"{path}/asset={asset}")
-        )
+        for found in partition_folders(spark, path, f"asset={asset}", "date"):
+            if (asset, found["date"]) not in new:
+                remove_folder(spark, f"{path}/asset={asset}/date={found['date']}")
 
 
-def replace_asset(rows: DataFrame, path: str, asset: str, order: Sequence[str]) -> None:
-    """Puts ``rows`` (without the asset column) in place of all that an asset had.
+def replace_daily(daily: DataFrame, path: str, assets: Iterable[str]) -> None:
+    """Daily rows of several assets in place of all that these had, in one write.
 
-    By date, like ``write_transfers``; other assets are not touched. Rows must come from
-    another folder.
+    An asset without rows loses what it had after the others have been written.
     """
-    ordered = rows.hint("rebalance", "date").sortWithinPartitions("date", *order)
-    (
-        ordered.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("date")
-        .parquet(f"{path}/asset={asset}")
-    )
+    spark = daily.sparkSession
+    write_daily(daily, path)
+    kept = {r["asset"] for r in daily.select("asset").distinct().collect()}
+    for asset in assets:
+        if asset not in kept:
+            remove_folder(spark, f"{path}/asset={asset}")
 
 
 def _write(frame: DataFrame, path: str, mode: str, partitions: tuple[str, ...]) -> None:

@@ -1,30 +1,39 @@
 """Reads ``{asset}_daily_stats.csv`` files, one asset per file.
 
-Headers differ from file to file, so the columns of each file are taken from
-its own first line. Files are read as lines and matched by name inside one
-job; there is no driver loop over files. The readers also accept a folder of
-that name holding part files, as the exporter in ``sinks`` writes it.
+Headers differ from file to file, so the columns of each file are taken from its own first line.
+One scan reads the lines, Spark's CSV parser cuts them into fields (quoted commas and quotes stay
+text), and one shuffle by file brings header, rows and verdict together; there is no join and no
+driver loop over files. A file has a row for each day. The readers also accept a folder of that
+name holding part files, as the exporter in ``sinks`` writes it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import text_date
 from ledgerline.schemas import DAILY
 
 _ASSET = r"([^/]+)_daily_stats\.csv(?:/part-[^/]*)?$"
-_TOO_LONG = "more fields than the header"
-_BAD_DATE = "a date cannot be read"
-
-
-def _unquoted(text: Column) -> Column:
-    return F.trim(F.translate(text, '"\ufeff', ""))
+_MOST_COLUMNS = 32
+_END = "\u0001"  # the field behind the last one
+_COUNTS = [f.name for f in DAILY if f.dataType.typeName() == "long"]
+_FIGURES = ["total_volume", "avg_transfer_size", *_COUNTS]
 
 
 def _fields(line: Column) -> Column:
-    return F.transform(F.split(line, ",", -1), _unquoted)
+    """The fields of a line, trimmed; NULL where they are too many or a quote is left open.
+
+    The parser does not tell an absent field from an empty one, so a last field of our own marks
+    where the line ends.
+    """
+    schema = ", ".join(f"c{k} string" for k in range(_MOST_COLUMNS))
+    options = {"escape": '"', "emptyValue": "", "mode": "PERMISSIVE"}
+    row = F.from_csv(F.concat(F.ltrim(line, F.lit("\ufeff")), F.lit("," + _END)), schema, options)
+    every = F.array(*[F.trim(F.coalesce(row[f"c{k}"], F.lit(""))) for k in range(_MOST_COLUMNS)])
+    count = F.array_position(every, _END) - 1
+    return F.when(count >= 0, F.slice(every, F.lit(1), F.greatest(count, F.lit(0)).cast("int")))
 
 
 def _one_spelling(file: Column) -> Column:
@@ -42,84 +51,88 @@ def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     ).where(F.length(F.trim("line")) > 0)
 
 
-def _headers(lines: DataFrame) -> DataFrame:
-    """First line of each file; ids grow with the line inside a file split."""
-    return (
-        lines.where(F.col("block_start") == 0)
-        .groupBy("file")
-        .agg(F.min_by("line", "line_order").alias("header"))
-        .select(
-            "file",
-            "header",
-            F.regexp_extract("file", _ASSET, 1).alias("asset"),
-            _fields(F.col("header")).alias("names"),
-        )
+def _judged(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Every line with its figures and its file's verdict, in one pass."""
+    by_file = Window.partitionBy("file")
+    in_order = by_file.orderBy("block_start", "line_order")
+    lines = (
+        _lines(spark, paths)
+        .withColumn("asset", F.regexp_extract("file", _ASSET, 1))
+        .withColumn("header", F.first("line").over(in_order))
+        .withColumns({"fields": _fields(F.col("line")), "names": _fields(F.col("header"))})
     )
 
-
-def _parsed(lines: DataFrame) -> DataFrame:
-    rows = lines.join(_headers(lines), "file").where(F.col("line") != F.col("header"))
-    values = rows.withColumn("fields", _fields(F.col("line")))
-
-    def value(name: Column) -> Column:
+    def text(name: Column) -> Column:
         # position 0 (no such column) becomes index -1, which ``get`` answers NULL
         return F.get("fields", F.array_position("names", name) - 1)
 
-    def number(name: Column) -> Column:
-        return value(name).try_cast("double")
-
-    volume = F.concat(F.lit("total_volume_"), F.col("asset"))
-    average = F.concat(F.lit("avg_transfer_size_"), F.col("asset"))
-    counts = [f.name for f in DAILY if f.dataType.typeName() == "long"]
-    return values.select(
-        "file",
-        "asset",
-        text_date(value(F.lit("date"))).alias("date"),
-        number(volume).alias("total_volume"),
-        number(average).alias("avg_transfer_size"),
-        *[number(F.lit(c)).cast("long").alias(c) for c in counts],
-        (F.size("fields") > F.size("names")).alias("_too_long"),
+    def column(figure: str) -> Column:
+        of_asset = figure in ("total_volume", "avg_transfer_size")
+        return F.concat(F.lit(f"{figure}_"), F.col("asset")) if of_asset else F.lit(figure)
+
+    rows = lines.withColumns(
+        {
+            "is_row": F.col("line") != F.col("header"),
+            "date": text_date(text(F.lit("date"))),
+            **{f: text(column(f)) for f in _FIGURES},
+        }
+    )
+    unread = F.coalesce(
+        *[
+            F.when((F.col(f) != "") & F.col(f).try_cast("double").isNull(), column(f))
+            for f in _FIGURES
+        ]
+    )
+    # what is wrong with a row, worst first, so that the least code of a file names its fault
+    fault = F.when(
+        F.col("is_row"),
+        F.when(F.col("fields").isNull(), F.lit("0a row cannot be taken apart"))
+        .when(F.size("fields") > F.size("names"), F.lit("1more fields than the header"))
+        .when(F.col("date").isNull(), F.lit("2a date cannot be read"))
+        .when(unread.isNotNull(), F.concat(F.lit("3a figure is no number: "), unread)),
+    )
+    names = F.col("names")
+    required = F.array_contains(names, column("total_volume")) & F.array_contains(names, "transaction_count")
+    reason = (
+        F.when(names.isNull(), "the header cannot be taken apart")
+        .when(~F.array_contains(names, "date"), "no date column")
+        .when(~required, "missing required columns")
+        .otherwise(F.substr(F.min(fault).over(by_file), F.lit(2)))
+    )
+    numbers = {f: F.col(f).try_cast("double") for f in _FIGURES}
+    return rows.withColumn("reason", reason).withColumns(
+        numbers | {c: numbers[c].cast("long") for c in _COUNTS}
     )
 
 
 def daily_csv_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``file, asset, reason``; reason is NULL where the file can be used.
 
-    A file without content, without a date column, without its asset's volume
-    or the transaction count, with a date that cannot be read, or with a row
-    longer than its header is skipped as a whole; the others are unaffected.
+    A file without content, without a date column, without its asset's volume or the transaction
+    count, with a date that cannot be read, with a figure that is no number (an empty one is
+    missing, not wrong), with a row longer than its header, or with an open quote or 32 columns
+    and more is skipped as a whole; the others are unaffected.
     """
-    lines = _lines(spark, paths)
     # names come from the listing, because a scan passes over empty files
     names_listed = spark.read.text(paths, recursiveFileLookup=True).inputFiles()
     listed = spark.createDataFrame([(name,) for name in names_listed], "file string")
     listed = listed.withColumn("file", _one_spelling(F.col("file")))
-    rows = _parsed(lines)
-    faults = rows.groupBy("file").agg(
-        F.bool_or(F.col("date").isNull()).alias("bad_date"),
-        F.bool_or("_too_long").alias("too_long"),
-    )
-    names = F.col("names")
-    volume = F.concat(F.lit("total_volume_"), F.col("asset"))
-    required = F.array_contains(names, volume) & F.array_contains(names, "transaction_count")
-    reason = (
-        F.when(F.col("header").isNull(), "no content")
-        .when(~F.array_contains(names, "date"), "no date column")
-        .when(~required, "missing required columns")
-        .when(F.col("too_long"), _TOO_LONG)
-        .when(F.col("bad_date"), _BAD_DATE)
+    verdicts = _judged(spark, paths).groupBy("file").agg(
+        F.lit(True).alias("seen"), F.first("reason").alias("reason")
     )
     return (
         listed.where(F.regexp_extract("file", _ASSET, 1) != "")
-        .join(_headers(lines).drop("asset"), "file", "left")
-        .join(faults, "file", "left")
-        .withColumn("asset", F.regexp_extract("file", _ASSET, 1))
-        .select("file", "asset", reason.alias("reason"))
+        .join(verdicts, "file", "left")
+        .select(
+            "file",
+            F.regexp_extract("file", _ASSET, 1).alias("asset"),
+            F.when(F.col("seen").isNull(), "no content").otherwise(F.col("reason")).alias("reason"),
+        )
     )
 
 
 def read_daily_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Daily rows of all usable files; optional columns a file lacks are NULL."""
-    usable = daily_csv_files(spark, paths).where(F.col("reason").isNull()).select("file")
-    rows = _parsed(_lines(spark, paths))
-    return rows.join(usable, "file", "left_semi").select(*DAILY.fieldNames())
+    rows = _judged(spark, paths)
+    usable = F.col("is_row") & F.col("reason").isNull() & (F.col("asset") != "")
+    return rows.where(usable).select(*DAILY.fieldNames())

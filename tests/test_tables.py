@@ -11,7 +11,7 @@ from ledgerline.operators import decode, report
 from ledgerline.plans import jobs
 from ledgerline.schemas import TRANSFERS
 from ledgerline.sinks.csv_export import daily_export_view
-from ledgerline.sinks.tables import clear_assets, write_transfers
+from ledgerline.sinks.tables import replace_assets, write_transfers
 from ledgerline.sources.chain import read_blocks, read_headers, read_receipts
 from ledgerline.sources.daily_csv import daily_csv_files, read_daily_csv
 from ledgerline.sources.transfers import (
@@ -187,8 +187,10 @@ def test_overwrite_keeps_other_partitions_and_append_adds(spark, tmp_path):
     write_transfers(shaped(spark, [make_row("a", two, 4)]), path, mode="append")
     got = sorted((str(r.date), r.block_number) for r in read_transfers(spark, path).collect())
     assert got == [("2025-06-01", 1), ("2025-06-02", 3), ("2025-06-02", 4)]
-    clear_assets(spark, path, ["a", "b"])
-    assert read_transfers(spark, path).isEmpty()
+    write_transfers(shaped(spark, [make_row("c", one, 5)]), path)
+    replace_assets(shaped(spark, [make_row("b", two, 6)]), path, ["a", "b"], ["block_number"])
+    got = sorted((r.asset, str(r.date), r.block_number) for r in read_transfers(spark, path).collect())
+    assert got == [("b", "2025-06-02", 6), ("c", "2025-06-01", 5)]
 
 
 def test_a_hot_day_is_written_as_several_sorted_files(spark, tmp_path):
@@ -285,6 +287,47 @@ def test_usable_daily_files_are_read_by_name(spark, uneven):
     ]
 
 
+def test_figures_are_judged_and_quoted_commas_read(spark, tmp_path):
+    def put(asset, header, *lines):
+        text = "\n".join([header.format(a=asset), *lines])
+        (tmp_path / f"{asset}_daily_stats.csv").write_text(text)
+
+    plain = "note,date,total_volume_{a},transaction_count"
+    put("quoted", plain, '"a, ""b"", c",2025-06-13,1.5,7', '"",2025-06-14,"2.5",8')
+    put("bad", plain, "x,2025-06-13,1.5,7", "x,2025-06-14,n/a,8")
+    put("comma", plain, 'x,2025-06-13,"1,500",7')
+    put("count", plain + ",transfer_count", "x,2025-06-13,1.5,7,many")
+    put("missing", plain + ",transfer_count", "x,2025-06-13,1.5,7,", "x,2025-06-14,1.5,7")
+    put("other", plain + ",comment", "x,2025-06-13,1.5,7,no number at all")
+    put("wide", plain + "".join(f",c{k}" for k in range(70)), "x,2025-06-13,1.5,7")
+    put("marked", "\ufeff" + plain, "x,2025-06-13,1.5,7")
+    put("header", plain)
+    put("open", plain, 'x,2025-06-13,1.5,7', '"x,2025-06-13,1.5,7')
+    put("gaps", "note,transaction_count,,date,total_volume_{a}", ",7,,2025-06-13,")
+    (tmp_path / "tail_daily_stats.csv").write_text("date,total_volume_tail,transaction_count\n2025-06-13,1,1,")
+    paths = str(tmp_path / "*_daily_stats.csv")
+    assert {r.asset: r.reason for r in daily_csv_files(spark, paths).collect()} == {
+        "quoted": None, "missing": None, "other": None, "marked": None, "header": None, "gaps": None,
+        "bad": "a figure is no number: total_volume_bad",
+        "comma": "a figure is no number: total_volume_comma",
+        "count": "a figure is no number: transfer_count",
+        "wide": "the header cannot be taken apart", "open": "a row cannot be taken apart",
+        "tail": "more fields than the header",
+    }
+    got = sorted(tuple(r)[:5] for r in read_daily_csv(spark, paths).collect())
+    day, next_day = dt.date(2025, 6, 13), dt.date(2025, 6, 14)
+    assert got == [
+        ("gaps", day, None, 7, None), ("marked", day, 1.5, 7, None), ("missing", day, 1.5, 7, None), ("missing", next_day, 1.5, 7, None),
+        ("other", day, 1.5, 7, None), ("quoted", day, 1.5, 7, None), ("quoted", next_day, 2.5, 8, None),
+    ]
+
+
+def test_daily_files_are_scanned_once(spark, uneven):
+    plan = read_daily_csv(spark, uneven)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "Join" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_absent_metrics_give_no_points_and_no_figures(spark, uneven):
     daily = read_daily_csv(spark, uneven)
     points = report.chart_series(daily).where("asset = 'old'").collect()

@@ -69,25 +69,31 @@ def maximal_segments(places: np.ndarray, scores: np.ndarray, cost: float) -> lis
     """(score, first token, last token) of all maximal scoring segments.
 
     ``places`` are the tokens with a positive score; each other token costs ``cost``. The scan
-    keeps, for every open segment, the running sums before and behind it; a new one is joined
-    to the latest that begins lower and ends lower, which takes linear time in all.
+    keeps, for every open segment, the running sums before and behind it and the latest segment
+    that begins lower; a new one is joined to the latest that begins lower and ends lower. Where
+    none begins lower, no open segment can grow any more, and all are done. Each link is followed
+    once, so the time is linear.
     """
-    kept: list[tuple[float, float, int, int]] = []  # sum before, sum behind, first, last
+    done: list[tuple[float, float, int, int, int]] = []
+    # sum before, sum behind, first, last, the latest kept one with a lower sum before
+    kept: list[tuple[float, float, int, int, int]] = []
     total, last = 0.0, -1
     for place, score in zip(places.tolist(), scores.tolist()):
         total -= cost * (place - last - 1)
         before, behind, first, last = total, total + score, place, place
         total = behind
-        while True:
-            at = len(kept) - 1
-            while at >= 0 and kept[at][0] >= before:
-                at -= 1
-            if at < 0 or kept[at][1] >= behind:
-                kept.append((before, behind, first, last))
-                break
-            before, first = kept[at][0], kept[at][2]
+        at = len(kept) - 1
+        while at >= 0 and kept[at][0] >= before:
+            at = kept[at][4]
+        while at >= 0 and kept[at][1] < behind:
+            before, _, first, _, link = kept[at]
             del kept[at:]
-    return [(b - a, i, j) for a, b, i, j in kept]
+            at = link
+        if at < 0:
+            done += kept
+            kept = []
+        kept.append((before, behind, first, last, at))
+    return [(b - a, i, j) for a, b, i, j, _ in done + kept]
 
 
 @dataclass
@@ -170,12 +176,11 @@ def fit_toxicity(
     least_texts: int = 3,
     least_z: float = 5.0,
     prior: float = 0.5,
-    most_features: int = 20_000,
 ) -> ToxicityModel:
     """Learns from at most that many labelled documents of each class.
 
-    What comes to the driver is bounded by the parameters: the features that stand out, at
-    most ``most_features``, and a row of numbers for each text of the sample.
+    What comes to the driver is bounded by the sample: the features that stand out in it, and a
+    row of numbers for each of its texts.
     """
     work = WorkTables(documents.sparkSession, "toxicity")
     per_class = {1: toxic_documents, 0: other_documents}
@@ -199,10 +204,7 @@ def fit_toxicity(
     # by chance a feature of few toxic texts is in no other one, so its z must also beat that
     expected = (F.col("toxic") + F.col("other")) * F.lit(texts[1] / sum(texts))
     excess = (F.col("toxic") - expected) / F.sqrt(expected * F.lit(texts[0] / sum(texts)))
-    strong = (
-        judged.where((excess >= least_z) & (F.col("odds") > 3.0))
-        .orderBy(F.desc("z"), "feature").limit(most_features).toPandas()
-    )
+    strong = judged.where((excess >= least_z) & (F.col("odds") > 3.0)).toPandas()
     strong["hash"] = strong["feature"].to_numpy(np.int64).view(np.uint64)
     strong = strong.sort_values("hash")
     model = ToxicityModel(
@@ -217,13 +219,15 @@ def _calibrated(model: ToxicityModel, sample: DataFrame, sizes: dict[int, int])
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             best, owner, count = model.token_scores(batch.column("text"))
-            hit = best > 0
+            hit = np.flatnonzero(best > 0)
+            bounds = pa.array(np.searchsorted(owner[hit], np.arange(batch.num_rows + 1)).astype(np.int32))
+            places = hit - (np.cumsum(count) - count)[owner[hit]]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("y"),
                     pa.array(count.astype(np.int64)),
-                    pa.array([np.flatnonzero(hit & (owner == k)) - (np.cumsum(count) - count)[k] for k in range(batch.num_rows)], pa.list_(pa.int64())),
-                    pa.array([best[hit & (owner == k)] for k in range(batch.num_rows)], pa.list_(pa.float64())),
+                    pa.ListArray.from_arrays(bounds, pa.array(places.astype(np.int64))),
+                    pa.ListArray.from_arrays(bounds, pa.array(best[hit])),
                 ],
                 ["y", "n", "places", "scores"],
             )
@@ -321,4 +325,6 @@ def classify_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, n_passages and passages of every document."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scored = score_toxicity(rows, fit_toxicity(documents, labels)).drop("text")
-    return scored.withColumn("held_out", held_out(F.col("doc_id")))
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_passages", "passages"
+    )

@@ -281,4 +281,8 @@ def fingerprint_documents(documents: DataFrame, radius: int = 7) -> DataFrame:
     named: Column = F.coalesce("class_of", F.xxhash64("fingerprint"))
     joined = digest.join(classes, "fingerprint", "left").withColumn("class_of", named)
     least = joined.groupBy("class_of").agg(F.min("doc_id").alias("class_id"))
-    return joined.join(least, "class_of").drop("class_of")
+    found = joined.join(least, "class_of").drop("class_of")
+    first = [
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"
+    ]
+    return found.select(*first, *[c for c in found.columns if c not in first])

@@ -8,11 +8,12 @@ lies in them is reranked by the exact inner product in double precision. Where m
 alike, their cell alone is much of all vectors, so the walk goes on until ``share`` is also
 reached with no cell counting for more than ``LIMIT`` times the median one.
 
-Queries and cells meet in blocks: cells are packed into buckets of about ``BUCKET`` vectors, a
-larger cell is cut into several, and every block of queries is paired with every bucket, where
-only the cells that a query walks are multiplied. Each pair of blocks gives a query its nearest
-of that bucket, and those are merged. So no cell, however many vectors are alike, is in one
-task.
+Cells are packed into buckets of about ``BUCKET`` vectors, a larger cell is cut into several. A
+query goes to the buckets that have a cell it walks, with the list of those cells, and no others;
+there the queries that walk a cell are multiplied with the vectors of that cell alone, so the work
+of a query is the number of vectors it walks. The vectors of a bucket that very many queries walk
+are copied once for every ``QUERIES`` of them. Each bucket gives a query its nearest there, and
+those are merged. So no cell, however many vectors are alike, is in one task.
 
 Defined cases: null vectors, zero vectors, those with a null or non-finite component and those
 of another length than the first of the sample take no part, nor do rows without an id. Rows
@@ -129,8 +130,8 @@ def fit_index(vectors: DataFrame, centroids: int = 32, sample: int = 8000) -> Mu
 FOUND = "query_id long, vec_id long, score double"
 
 
-def _buckets(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """First bucket and number of buckets of each cell, and the number of all buckets."""
+def _buckets(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bucket and number of buckets of each cell."""
     first, pieces, at, room = np.zeros(len(counts), np.int64), np.ones(len(counts), np.int64), -1, 0
     for cell, count in enumerate(counts.tolist()):
         if count > room:
@@ -141,7 +142,7 @@ def _buckets(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         else:
             first[cell] = max(at, 0)
             room -= count
-    return first, pieces, at + 1
+    return first, pieces
 
 
 def _filer(index):
@@ -158,23 +159,40 @@ def _filer(index):
     return file
 
 
+WALKED = "query_id long, query binary, bucket long, cells binary"
+
+
 def _walker(plan, share: float, nearest: int, own: int):
-    """The cells each query walks, as a bitmap. At most ``own`` rows have the id of a query;
-    they are no candidates, so that many more are held."""
+    """The buckets each query goes to, with the cells it walks there. At most ``own`` rows have
+    the id of a query; they are no candidates, so that many more are held."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, counts = plan.value
+        index, counts, first, pieces = plan.value
         wanted = max(share * counts.sum(), nearest) + own
         for batch in batches:
             vectors = _matrix(batch.column("vector"))
-            maps = []
-            for query in vectors:
-                bits = np.zeros(index.cells, np.uint8)
-                bits[index.walk(query, counts, wanted, share)] = 1
-                maps.append(np.packbits(bits).tobytes())
+            rows, buckets, lists = [], [], []
+            for row, query in enumerate(vectors):
+                cells = np.array(index.walk(query, counts, wanted, share))
+                cells = cells[counts[cells] > 0]
+                # a cell in several pieces is in as many buckets
+                where = np.repeat(first[cells], pieces[cells])
+                where += np.arange(len(where)) - np.repeat(np.cumsum(pieces[cells]) - pieces[cells], pieces[cells])
+                cells = np.repeat(cells, pieces[cells]).astype(np.int32)
+                order = np.argsort(where, kind="stable")
+                where, cells = where[order], cells[order]
+                cuts = np.flatnonzero(np.append(True, where[1:] != where[:-1])) if len(where) else []
+                for a, b in zip(cuts, [*cuts[1:], len(where)]):
+                    rows.append(row)
+                    buckets.append(int(where[a]))
+                    lists.append(cells[a:b].tobytes())
+            taken = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), batch.column("vector"), pa.array(maps, pa.binary())],
-                ["query_id", "query", "cells"],
+                [
+                    batch.column("vec_id").take(taken), batch.column("vector").take(taken),
+                    pa.array(buckets, pa.int64()), pa.array(lists, pa.binary()),
+                ],
+                ["query_id", "query", "bucket", "cells"],
             )
 
     return walk
@@ -185,19 +203,43 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(packed), np.float64).reshape(len(packed), -1) if packed else np.zeros((0, 0))
 
 
+def products(
+    asked: np.ndarray, walked: list[np.ndarray], vectors: np.ndarray, cells: np.ndarray
+) -> tuple[np.ndarray, int]:
+    """Inner products of queries with the vectors of the cells they walk, and how many these are.
+
+    ``cells`` are those of the vectors, ascending. What is not walked is not multiplied and has
+    minus infinity.
+    """
+    found = np.full((len(asked), len(vectors)), -np.inf)
+    who = np.repeat(np.arange(len(asked)), [len(w) for w in walked])
+    which = np.concatenate(walked) if walked else np.zeros(0, np.int64)
+    order = np.argsort(which, kind="stable")
+    who, which = who[order], which[order]
+    present, starts = np.unique(which, return_index=True)
+    stops = np.append(starts[1:], len(which))
+    low, high = np.searchsorted(cells, present, "left"), np.searchsorted(cells, present, "right")
+    pairs = 0
+    for a, b, s, e in zip(low.tolist(), high.tolist(), starts.tolist(), stops.tolist()):
+        if a < b:
+            found[who[s:e], a:b] = asked[who[s:e]] @ vectors[a:b].T
+            pairs += (e - s) * (b - a)
+    return found, pairs
+
+
 def _reranker(nearest: int):
     def rerank(queries: pa.Table, entries: pa.Table) -> pa.Table:
         found: list[tuple] = []
         if queries.num_rows and entries.num_rows:
-            asked, vectors = _matrix(queries["query"]), _matrix(entries["vector"])
-            query_ids, ids = queries["query_id"].to_numpy(), entries["vec_id"].to_numpy()
-            maps = np.unpackbits(np.stack([np.frombuffer(m, np.uint8) for m in queries["cells"].to_pylist()]), axis=1)
             cells = entries["cell"].to_numpy()
+            order = np.argsort(cells, kind="stable")
+            cells, ids = cells[order], entries["vec_id"].to_numpy()[order]
+            vectors = _matrix(entries["vector"])[order]
+            asked, query_ids = _matrix(queries["query"]), queries["query_id"].to_numpy()
+            walked = [np.frombuffer(c, np.int32) for c in queries["cells"].to_pylist()]
             for k in range(0, len(asked), 256):
-                part = slice(k, k + 256)
-                rough = asked[part] @ vectors.T
-                rough[maps[part][:, cells] == 0] = -np.inf
-                rough[query_ids[part][:, None] == ids[None, :]] = -np.inf
+                rough, _ = products(asked[k : k + 256], walked[k : k + 256], vectors, cells)
+                rough[query_ids[k : k + 256][:, None] == ids[None, :]] = -np.inf
                 for row, q in zip(rough, range(k, len(asked))):
                     found.append(_nearest(row, asked[q], vectors, ids, query_ids[q], nearest))
         if not found:
@@ -244,25 +286,27 @@ def nearest_vectors(
     counts = np.zeros(index.cells, np.int64)
     for cell, n in filed.groupBy("cell").count().collect():
         counts[cell] = n
-    first, pieces, buckets = _buckets(counts)
+    first, pieces = _buckets(counts)
     asks = F.pmod("vec_id", F.lit(20)) == 0 if is_query is None else is_query
-    queries = filed.where(asks)
-    blocks = max(1, -(-queries.count() // QUERIES))
-    plan = spark.sparkContext.broadcast((index, counts))
+    plan = spark.sparkContext.broadcast((index, counts, first, pieces))
     # rows of one id ask alike or not, as ``is_query`` says; all of them are no candidates
     own = filed.groupBy("vec_id").count().agg(F.max("count")).first()[0] or 0
     walked = work.store(
-        queries.mapInArrow(_walker(plan, share, nearest, own), "query_id long, query binary, cells binary"), "walked"
+        filed.where(asks).mapInArrow(_walker(plan, share, nearest, own), WALKED), "walked"
+    )
+    # a row for each bucket that is walked
+    blocks = work.store(
+        walked.groupBy("bucket").agg(F.ceil(F.count("*") / QUERIES).cast("long").alias("blocks")), "blocks"
     )
     start = F.element_at(F.array(*[F.lit(int(x)) for x in first]), (F.col("cell") + 1).cast("int"))
     number = F.element_at(F.array(*[F.lit(int(x)) for x in pieces]), (F.col("cell") + 1).cast("int"))
     bucket = start + F.pmod(F.xxhash64("vec_id", F.lit(5)), number)
-    left = walked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).withColumn(
-        "bucket", F.explode(F.sequence(F.lit(0), F.lit(max(0, buckets - 1))).cast("array<long>"))
-    )
-    right = filed.withColumn("bucket", bucket.cast("long")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>"))
-    )
+    left = walked.join(blocks, "bucket").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")))
+    left = left.drop("blocks")
+    again = spark.read.parquet(f"{work.folder}/blocks")
+    right = filed.withColumn("bucket", bucket.cast("long")).join(again, "bucket").withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    ).drop("blocks")
     found = (
         left.repartition(wide(spark), "block", "bucket").groupBy("block", "bucket")
         .cogroup(right.repartition(wide(spark), "block", "bucket").groupBy("block", "bucket"))

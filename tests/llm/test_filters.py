@@ -1,5 +1,6 @@
 """Quality, toxicity, pages, vectors and the mix."""
 
+import time
 import zlib
 
 import duckdb
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.html_text import LABELLED, DecisionTree, extract_main_text, main_texts
 from ledgerline.llm.labelled import labelled_sample
-from ledgerline.llm.multi_index import nearest_vectors
+from ledgerline.llm.multi_index import MultiIndex, nearest_vectors, products
 from ledgerline.llm.quality import classify_quality
 from ledgerline.llm.source_mix import mix_sources
 from ledgerline.llm.source_mix_sql import MIX_SQL
@@ -317,3 +318,30 @@ def test_awkward_mix(spark):
     assert mix_sources(frame(spark).limit(0)).collect() == []
     empty = mix_sources(frame(spark, [(1, None, None, "a"), (2, "", None, "b")])).collect()
     assert {(r.target, r.taken) for r in empty} == {(0.0, 0)}
+
+
+def test_many_isolated_hits_take_linear_time():
+    places = np.arange(0, 20_000_000, 20)
+    began = time.perf_counter()
+    found = maximal_segments(places, np.full(len(places), 1.0), 0.5)
+    assert time.perf_counter() - began < 30
+    assert len(found) == len(places) and {s for s, _, _ in found} == {1.0}
+    # every hit joins the one before
+    joined = maximal_segments(np.arange(0, 300_000, 3), np.full(100_000, 5.0), 0.5)
+    assert [(a, b) for _, a, b in joined] == [(0, 299_997)]
+
+
+def test_only_walked_cells_are_multiplied():
+    rng = np.random.default_rng(2)
+    vectors, asked = rng.normal(size=(3000, 8)), rng.normal(size=(40, 8))
+    index = MultiIndex(vectors[:500], 8)
+    cells = index.cell_of(vectors)
+    order = np.argsort(cells, kind="stable")
+    cells, vectors = cells[order], vectors[order]
+    counts = np.bincount(cells, minlength=index.cells)
+    walked = [np.array(index.walk(q, counts, 600)) for q in asked]
+    found, pairs = products(asked, walked, vectors, cells)
+    assert pairs == sum(int(counts[w].sum()) for w in walked) < 0.35 * found.size
+    for row, w, q in zip(found, walked, asked):
+        inside = np.isin(cells, w)
+        assert np.allclose(row[inside], vectors[inside] @ q) and np.isneginf(row[~inside]).all()

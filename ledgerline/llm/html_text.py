@@ -4,9 +4,12 @@ A page is read as a flat sequence of text blocks, parted by block-level tags; sc
 comments and the head are left out. A block has a word count and a link density, and so have
 the blocks before and behind it; it also knows what kind of region it is in and whether it is a
 heading. What class, id and role say of a region is read word by word: names of main text
-outweigh those of the layout around it (``content no-sidebar``, ``entry-header``), but nothing
-reopens main text within comments and the like. A decision tree grown from the small labelled table below says which blocks are main
-text. Character references are decoded, white space in a block becomes one space, and the
+outweigh those of the layout around it (``content no-sidebar``, ``entry-header``); ``footer-content``
+is the content of a footer. A region around main text stays shut, whatever is inside; only where
+the page has its ``main`` or ``article`` nowhere else, or no text is left, is a form, header or
+hidden element looked into. What hides an element, or names it an advert or comment, counts on
+any element. A decision tree grown from the small labelled table below says which blocks are main
+text; a page of which it keeps nothing gives its densest run of open blocks. Character references are decoded, white space in a block becomes one space, and the
 blocks kept are joined by two line ends.
 
 Defined cases: null or empty html has an empty text, and so has a page without main text. A
@@ -44,8 +47,12 @@ BLOCKS = frozenset(
 )
 CONTAINERS = frozenset(
     "article aside body button details dialog div fieldset figure footer form head header html "
-    "main menu nav ol section table ul".split()
+    "main menu nav ol section table td th ul".split()
 )
+CELLS = frozenset("td th".split())
+# closed by the next block, or the next of their kind, if not by a tag of their own
+SINGLE = frozenset("dd dt h1 h2 h3 h4 h5 h6 li p".split())
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 MAIN = frozenset("article main".split())
 AROUND = frozenset("aside button dialog fieldset footer form head header menu nav".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -178,7 +185,8 @@ def _named(tokens: list[str]) -> tuple[bool, bool, set[str]]:
         mine = MAIN_NAMES.intersection(words[:said])
         # the header of an entry is part of it; main-header and article-sidebar are not
         if mine and outer and outer <= LAYOUT_NAMES and words[-1] not in outer - {"header"}:
-            if mine != {"main"} or words[-1] != "header":
+            # what is the content of a footer is footer
+            if words[-1] != "content" and (mine != {"main"} or words[-1] != "header"):
                 outer = set()
         around |= outer
         main = main or bool(mine) and not outer
@@ -186,16 +194,24 @@ def _named(tokens: list[str]) -> tuple[bool, bool, set[str]]:
     return main, alone, around
 
 
-def _kind(tag: str, attributes: str, inside: int) -> int:
+def _shuts(tag: str, attributes: str) -> bool:
+    """Whether an element that is no container is hidden or names itself an advert or the like."""
+    hidden, tokens = _attributes(attributes)
+    return hidden or bool(_named(tokens)[2] & (SEALED_NAMES if tag in HEADINGS else AROUND_NAMES - LAYOUT_NAMES))
+
+
+def _kind(tag: str, attributes: str, inside: int, opened: frozenset[str]) -> int:
     """The region a container opens: 1 main, -1 around, SEALED around whatever is inside, 0 that
-    of what it is in."""
+    of what it is in. Tags in ``opened`` are no regions of their own."""
     if inside == SEALED or tag == "aside":
         return SEALED
+    if inside == -1 and not (opened and tag in MAIN):
+        return -1
     hidden, tokens = _attributes(attributes) if attributes else (False, [])
     if hidden and tag not in ("body", "html"):
         return -1
     main, alone, around = _named(tokens)
-    if tag in AROUND and not (tag == "header" and (inside == 1 or main)):
+    if tag in AROUND and tag not in opened and not (tag == "header" and (inside == 1 or main)):
         return SEALED if around & SEALED_NAMES else -1
     if tag in ("body", "html"):
         around = set()
@@ -213,46 +229,82 @@ def _kind(tag: str, attributes: str, inside: int) -> int:
 
 
 class Page:
-    """The flat blocks of one page."""
+    """The flat blocks of one page; tags in ``opened`` are not taken for regions around them."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, opened: frozenset[str] = frozenset()):
         self.texts: list[str] = []
         self.rows: list[tuple[int, int, int, float]] = []  # region, heading, words, density
         self.parts: list[tuple[str, bool]] = []
         self.open: list[tuple[str, int]] = []
-        self.heading = 0
+        self.opened = opened
+        self.heading, self.paragraph = 0, False
+        self.found = self.missed = False  # main or article in the open, and within a shut region
         links, at = 0, 0
+        muted, depth = "", 0
         for match in TOKEN.finditer(source):
-            if match.start() > at:
+            if match.start() > at and not muted:
                 self.parts.append((source[at : match.start()], links > 0))
             at = match.end()
             tag = (match[3] or "").lower()
             if not tag:
                 continue
+            closes, attributes = bool(match[2]), match[4]
+            if muted and tag not in BLOCKS:
+                # an inline element that is hidden ends with its own tag
+                if tag == muted:
+                    depth += -1 if closes else 1
+                    muted = muted if depth else ""
+                continue
             if tag == "a":
-                links = max(0, links - 1) if match[2] else links + 1
-            elif tag == "br":
+                links = max(0, links - 1) if closes else links + 1
+            if tag == "br":
                 self.parts.append((" ", False))
             elif tag in BLOCKS:
                 self._close_block()
-                links = 0
-                self.heading = int(tag in HEADINGS and not match[2])
-                if tag in CONTAINERS:
-                    self._container(tag, bool(match[2]), match[4])
-        if at < len(source):
+                links, muted = 0, ""
+                self.heading = int(tag in HEADINGS and not closes)
+                self.paragraph = tag == "p" and not closes
+                self._element(tag, closes, attributes)
+            elif attributes and not closes and tag not in VOID and _shuts(tag, attributes):
+                muted, depth = tag, 1
+        if at < len(source) and not muted:
             self.parts.append((source[at:], links > 0))
         self._close_block()
 
-    def _container(self, tag: str, closes: bool, attributes: str) -> None:
-        if not closes:
-            inside = self._region()
-            kind = _kind(tag, attributes, inside)
-            self.open.append((tag, kind or inside))
+    def _element(self, tag: str, closes: bool, attributes: str) -> None:
+        if closes:
+            for k in range(len(self.open) - 1, -1, -1):
+                if self.open[k][0] == tag:
+                    del self.open[k:]
+                    return
+                if tag not in CONTAINERS and self.open[k][0] in CONTAINERS:
+                    return
             return
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                del self.open[k:]
-                return
+        self._end_of_single(tag)
+        inside = self._region()
+        if tag in CONTAINERS:
+            kind = _kind(tag, attributes, inside, self.opened) or inside
+            if tag in MAIN:
+                self.found = self.found or kind == 1
+                self.missed = self.missed or inside == -1
+            self.open.append((tag, kind))
+        elif attributes and _shuts(tag, attributes):
+            self.open.append((tag, SEALED))
+
+    def _end_of_single(self, tag: str) -> None:
+        """Elements that end where this one begins, though they have not been closed."""
+        if tag in CELLS or tag == "tr":
+            for k in range(len(self.open) - 1, -1, -1):
+                if self.open[k][0] == "table":
+                    break
+                if self.open[k][0] in CELLS:
+                    del self.open[k:]
+                    break
+        while self.open and self.open[-1][0] in SINGLE:
+            last = self.open[-1][0]
+            if last in ("li", "dd", "dt") and tag not in ("li", "dd", "dt"):
+                break
+            self.open.pop()
 
     def _region(self) -> int:
         return self.open[-1][1] if self.open else 0
@@ -262,12 +314,44 @@ class Page:
             return
         whole = html.unescape("".join([p for p, _ in self.parts])).split()
         if whole:
+            region = max(-1, self._region())
             linked = sum(len(html.unescape(p).split()) for p, link in self.parts if link)
+            # a paragraph of main text may be one link
+            if region == 1 and self.paragraph:
+                linked = 0
             self.texts.append(" ".join(whole))
-            self.rows.append((max(-1, self._region()), self.heading, len(whole), min(1.0, linked / len(whole))))
+            self.rows.append((region, self.heading, len(whole), min(1.0, linked / len(whole))))
         self.parts = []
 
 
+LOOKED_INTO = frozenset("form header".split())
+
+
+def read_page(source: str) -> Page:
+    """The blocks of a page, with forms and headers looked into where nothing else has its text."""
+    page = Page(source)
+    lost = page.missed and not page.found
+    if lost or (page.rows and all(region == -1 for region, *_ in page.rows)):
+        opened = Page(source, LOOKED_INTO)
+        if opened.found or not lost:
+            return opened
+    return page
+
+
+def densest_run(rows: list[tuple[int, int, int, float]]) -> tuple[int, int]:
+    """The blocks [begin, end) in the open with the most words that are no links; a block costs
+    two words."""
+    best, run, begin = (0.0, 0, 0), 0.0, 0
+    for k, (region, _, words, density) in enumerate(rows):
+        worth = words * (1 - 2 * density) - 2 if region >= 0 else -np.inf
+        if run <= 0:
+            run, begin = 0.0, k
+        run += worth
+        if run > best[0]:
+            best = (run, begin, k + 1)
+    return best[1], best[2]
+
+
 def block_features(rows: np.ndarray, owner: np.ndarray) -> np.ndarray:
     """Each block's own columns with words and density of its neighbours on the same page."""
     out = np.zeros((len(rows), 8))
@@ -279,7 +363,7 @@ def block_features(rows: np.ndarray, owner: np.ndarray) -> np.ndarray:
 
 
 def main_texts(pages: list[str | None], tree: DecisionTree) -> list[str]:
-    read = [Page(p or "") for p in pages]
+    read = [read_page(p or "") for p in pages]
     owner = np.repeat(np.arange(len(read)), [len(p.rows) for p in read])
     if not len(owner):
         return [""] * len(read)
@@ -289,6 +373,10 @@ def main_texts(pages: list[str | None], tree: DecisionTree) -> list[str]:
     kept: list[list[str]] = [[] for _ in read]
     for k in np.flatnonzero(keep).tolist():
         kept[owner[k]].append(texts[k])
+    for page, found in zip(read, kept):
+        if not found:
+            begin, end = densest_run(page.rows)
+            found += page.texts[begin:end]
     return ["\n\n".join(t) for t in kept]
 
 

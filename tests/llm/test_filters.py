@@ -168,6 +168,37 @@ OTHER = "What a reader has to say about it, in a good many words that are not th
         (f'<main><p>{TEXT}</p><article class="comment"><p>{OTHER}</p></article></main>', [TEXT]),
         (f"<main><p>{TEXT}</p><aside><article><p>{OTHER}</p></article></aside></main>", [TEXT]),
         (f'<form id="page"><main><p>{TEXT}</p></main></form>', [TEXT]),
+        *[
+            (f"<main><p>{TEXT}</p></main>{around}", [TEXT])
+            for around in (
+                f'<div class="footer-content"><p>{OTHER}</p></div>',
+                f'<div class="sidebar-content"><p>{OTHER}</p></div>',
+                f'<footer><div class="content"><p>{OTHER}</p></div></footer>',
+                f'<nav><div class="content"><p>{OTHER}</p></div></nav>',
+                f'<form><div class="content"><p>{OTHER}</p></div></form>',
+                f'<div class="cookie-notice"><div class="content"><p>{OTHER}</p></div></div>',
+                f"<div hidden><article><p>{OTHER}</p></article></div>",
+            )
+        ],
+        *[
+            (f"<main><p>{TEXT}</p>{inner}<p>{TEXT}</p></main>", [TEXT, TEXT])
+            for inner in (
+                f'<p class="ad">{OTHER}</p>', f'<p class="ad">{OTHER}', f"<p hidden>{OTHER}</p>",
+                f'<ul><li class="comment">{OTHER}</li></ul>', f'<blockquote class="promo">{OTHER}</blockquote>',
+                f'<p><span style="display:none">{OTHER} <span>x</span></span></p>', f'<span class="ad">{OTHER}</span>',
+                f'<h2 class="ads">{OTHER}</h2>',
+            )
+        ],
+        (
+            f'<table><tr><td class="sidebar"><p>{OTHER}</p></td><td class="content"><p>{TEXT}</p></td></tr></table>',
+            [TEXT],
+        ),
+        (f'<table><tr><td class="sidebar">{OTHER}<td class="content">{TEXT}</table>', [TEXT]),
+        (f"<form><p>{TEXT} {TEXT} {TEXT}</p><p>{TEXT} {TEXT}</p></form>", [f"{TEXT} {TEXT} {TEXT}", f"{TEXT} {TEXT}"]),
+        ("<p>Short it is.</p><p>So is this one.</p><p>And the third here.</p>", ["Short it is.", "So is this one.", "And the third here."]),
+        (f"<article><p>{TEXT}</p><p><a href=x>The whole report</a></p><p>{TEXT}</p></article>", [TEXT, "The whole report", TEXT]),
+        (f'<main><ul><li>{TEXT}</li><li class="ad">{OTHER}<li>{TEXT}</ul><p>Be <span hidden>not</span> seen, said the one to the other.</p></main>',
+         [TEXT, TEXT, "Be seen, said the one to the other."]),
     ],
 )
 def test_ordinary_class_names(page, want):

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.rollups import DAILY_KEYS, stats_columns
 
+# a reader takes up to 4,096 rows of a row group at once, each with bitmaps of 4 KB
+_ROW_GROUP = 4 << 20
 _ROW_BITS = 33  # of monotonically_increasing_id are the row within its partition
 
 
@@ -146,7 +148,7 @@ def store_days(
         ordered = placed.sortWithinPartitions("period", "asset", "date", "bucket")
         (
             ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("period").parquet(tables.days(kind))
+            .option("parquet.block.size", _ROW_GROUP).partitionBy("period").parquet(tables.days(kind))
         )
 
 

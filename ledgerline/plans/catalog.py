@@ -43,13 +43,13 @@ CHUNK = 50
 def comparable(stats: DataFrame) -> DataFrame:
     """Volume in cents and the average from it.
 
-    Sums of doubles depend on the order of addition in their last bits, so
-    both engines are compared on the volume as money and on its quotient, which
-    the engine's own average must agree with to a cent; else it is NULL here.
+    Sums of doubles depend on the order of addition in their last bits, so both engines are
+    compared on the volume as money and on its quotient. The engine's own average, taken times
+    the transfers, must give that volume but for the rounding to cents; else it is NULL here.
     """
     volume = F.round("total_volume", 2)
     average = volume / F.col("transfer_count")
-    agrees = F.abs(F.col("avg_transfer_size") - average) <= 0.01
+    agrees = F.abs(F.col("avg_transfer_size") * F.col("transfer_count") - volume) <= 0.0051
     return stats.withColumns(
         {"total_volume": volume, "avg_transfer_size": F.when(agrees, average)}
     )

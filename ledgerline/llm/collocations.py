@@ -17,7 +17,8 @@ which is cut at ``DEPTH`` words and at the end of its piece.
 Words are known by 64-bit hashes of language and word until the phrases are written out.
 
 Defined cases: a null text has no words; a null lang is ``und``; rows with null or equal doc_ids
-all count; an empty table gives an empty result. Columns other than text and lang are not looked
+all count; very long texts are read in parts, cut where pieces end; an empty table gives an
+empty result. Columns other than text and lang are not looked
 at.
 """
 
@@ -48,6 +49,23 @@ _GAPS = _ENDS.copy()
 _GAPS[[0x20, 0x09]] = True
 
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same texts in slices; a very long one is cut at ends of pieces, which no phrase crosses."""
+    for batch in slices(batches, "text", SLICE):
+        raw, _ = text_bytes(batch.column("text"))
+        if batch.num_rows > 1 or len(raw) <= 2 * SLICE:
+            yield batch
+            continue
+        ends = np.flatnonzero(_ENDS[raw]) + 1
+        begin = 0
+        while begin < len(raw):
+            k = np.searchsorted(ends, begin + SLICE)
+            end = int(ends[k]) if k < len(ends) else len(raw)
+            part = pa.array([raw[begin:end].tobytes().decode()])
+            yield pa.RecordBatch.from_arrays([part, batch.column("lang")], ["text", "lang"])
+            begin = end
+
+
 def _words(batch: pa.RecordBatch):
     """Raw bytes, word starts and ends, ids by language and word, piece and row of each word."""
     raw, offsets = text_bytes(batch.column("text"))
@@ -87,7 +105,7 @@ def _pair_ids(ids: np.ndarray) -> np.ndarray:
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words by language with their counts; the empty word counts all of a language."""
-    for batch in slices(batches, "text", SLICE):
+    for batch in _texts(batches):
         raw, starts, ends, ids, _, row = _words(batch)
         if not len(ids):
             continue
@@ -137,7 +155,7 @@ def _holds(bitmap: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 def _count_pairs(words):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", SLICE):
+        for batch in _texts(batches):
             _, _, _, ids, piece, _ = _words(batch)
             if len(ids):
                 pairs = _pair_ids(ids)[_follow(ids, piece, _holds(words.value, ids))]
@@ -182,7 +200,7 @@ def _suffixes(pairs, packing):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group_of, heavy = packing.value
         groups = int(group_of.max()) + 1
-        for batch in slices(batches, "text", SLICE):
+        for batch in _texts(batches):
             _, _, _, ids, piece, _ = _words(batch)
             if len(ids) < 2:
                 continue

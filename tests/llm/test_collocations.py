@@ -4,7 +4,9 @@ import random
 import re
 from collections import Counter
 
-from ledgerline.llm.collocations import collocations
+import pyarrow as pa
+
+from ledgerline.llm.collocations import SLICE, _texts, collocations
 from ledgerline.llm.queries import op13_collocations
 
 from helpers import AWKWARD, SF, frame
@@ -79,6 +81,18 @@ def test_small_budget_extends_prefixes(spark):
     assert found(collocations(frame(spark, rows), least=5, budget=40)) == want
 
 
+def test_very_long_texts_are_cut_where_pieces_end(spark):
+    long = "ä b c d. e f! " * (SLICE // 5) + "x" * SLICE
+    batch = pa.RecordBatch.from_arrays([pa.array([long, "short", None]), pa.array(["en", "de", "fr"])], ["text", "lang"])
+    parts = [(t, l) for b in _texts(iter([batch])) for t, l in zip(*(c.to_pylist() for c in b.columns))]
+    assert parts[-2:] == [("short", "de"), (None, "fr")]
+    assert "".join(t for t, _ in parts[:-2]) == long and {l for _, l in parts[:-2]} == {"en"}
+    assert len(parts) > 4 and all(t[-1] in ".!" for t, _ in parts[:-3])
+    rows = [(1, long, "en", "a"), (2, "e f", "en", "a")]
+    got = found(collocations(frame(spark, rows), least=5))
+    assert got == brute([("en", long), ("en", "e f")], least=5)
+
+
 def test_query_over_the_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("lang", "text").collect()
     assert found(op13_collocations(spark, SF)) == brute([tuple(d) for d in docs])

@@ -112,14 +112,14 @@ def by_day(rows):
 def test_runs_stay_few_and_figures_exact(spark, rows, tmp_path):
     day = dt.date(2025, 6, 1)
     rows = [(r[0], day, *r[2:]) for r in rows]
-    frames, parts = batches_of(spark, rows, 20, tmp_path)
+    frames, parts = batches_of(spark, rows, 10, tmp_path)
     tables = LedgerTables(str(tmp_path / "ledger"))
     for number, frame in enumerate(frames):
-        apply_batch(frame, number, tables, fan=3)
+        apply_batch(frame, number, tables, fan=2)
         runs = stored_runs(spark, tables.partials, [str(day)])
         assert sorted(runs) == live_runs(runs)  # what was replaced is gone
-        assert len(runs) <= 2 * 3  # fan - 1 on each of three levels
-    assert sum(r.last - r.first + 1 for r in runs) == 20
+        assert len(runs) <= 4  # fan - 1 on each of four levels
+    assert sum(r.last - r.first + 1 for r in runs) == 10
     assert daily_of(stored_daily(spark, tables)) == by_day(rows)
 
 

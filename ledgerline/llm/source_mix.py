@@ -5,11 +5,15 @@ all documents. No target is above ``most`` times its source's words; what is lef
 shared by weight among the others until none is above.
 
 Within a source at rate r = target / words, every document gets floor(r) certain whole copies.
-The rest f of the rate is an order sample: a document with inclusion probability f draws
-u from a hash of its id, its rank is the odds of u over the odds of f, and documents are taken
-by ascending rank for as long as that brings the words nearer to what is wanted. Documents of
-more than a fiftieth of what is wanted are sampled first, the others then make up what is
-missing, so that one long document does not decide how near a source comes.
+The rest f of the rate is a Pareto order sample. A document of s words in a source whose documents
+have m words on average has inclusion odds f / (1 - f) * m / (m + s): longer ones are less likely,
+so that the same words come from more documents. It draws u from a hash of its id, its rank is the
+odds of u over its inclusion odds, and documents are taken by ascending rank for as long as that
+brings the words nearer to what is wanted; a cut anywhere multiplies all inclusion odds of the
+source by one number and leaves their proportions. Documents of more than a fiftieth of what is
+wanted are a stratum of their own, sampled first up to its share of the words, and the others
+make up what is missing, so that one long document does not decide how near a source comes. The
+last one of that stratum is whichever of those left lets the others come nearest, if any does.
 
 The place where a source's ranks are cut off is found by radix selection: sums by rank digit,
 4,096 of them for each source, then within one digit. No task ever holds a source's documents,
@@ -17,8 +21,8 @@ whatever its share, and texts are read once.
 
 Defined cases: a null text has size 0, and a size of 0 is taken 0 times whatever its copies.
 A null source is a source, the last. An empty table gives an empty mix. Rows with the same
-doc_id draw the same number and are taken or left together; a null doc_id counts as one id.
-Reruns agree, as nothing but ids, sources and sizes decides.
+doc_id draw the same number, and those of one size are taken or left together; a null doc_id
+counts as one id. Reruns agree, as nothing but ids, sources and sizes decides.
 """
 
 from __future__ import annotations
@@ -42,46 +46,51 @@ def draw(doc_id: Column) -> Column:
     return (bits + F.lit(0.5)) / F.lit(float(1 << 48))
 
 
-def source_targets(sized: DataFrame, work: WorkTables, weights: tuple[int, ...], most: int) -> DataFrame:
-    """number, source, source_size and target of every source of (source, size)."""
-    sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    order = F.col("source").asc_nulls_last()
-    # numbered without one task for all sources: by range, and by place within the range
+def word_count(text: Column) -> Column:
+    """The words of a text; none in a null one."""
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def _with_sums_before(rows: DataFrame, order: list[Column], sums: dict[str, Column], work: WorkTables, name: str) -> DataFrame:
+    """Sums over all rows that come earlier in ``order``, without one task for all rows.
+
+    By range of the order, and within the range; only the totals of ranges, one for each
+    partition, meet in a task.
+    """
     ranged = work.store(
-        sums.repartitionByRange(order).withColumn("part", F.spark_partition_id()), "sources"
+        rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), name
     )
-    before = (
-        ranged.groupBy("part").count()
-        .select("part", (F.sum("count").over(Window.orderBy("part")) - F.col("count")).alias("before"))
+    parts = ranged.groupBy("part").agg(*[F.sum(c).alias(f"{n}_all") for n, c in sums.items()])
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = parts.select("part", *[F.coalesce(F.sum(f"{n}_all").over(earlier), F.lit(0)).alias(f"{n}_base") for n in sums])
+    within = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = ranged.select("*", *[F.coalesce(F.sum(c).over(within), F.lit(0)).alias(f"{n}_in") for n, c in sums.items()])
+    return inside.join(base, "part").select(
+        *rows.columns, *[(F.col(f"{n}_base") + F.col(f"{n}_in")).alias(n) for n in sums]
     )
-    place = F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1
-    numbered = ranged.withColumn("place", place).join(before, "part")
-    number = F.col("place") + F.col("before")
+
+
+def source_targets(sized: DataFrame, work: WorkTables, weights: tuple[int, ...], most: int) -> DataFrame:
+    """number, source, source_size, mean_size and target of every source of (source, size).
+
+    Sources are ordered by cap over weight. If the first k of them stop at their caps, the others
+    share what is left by weight; the true share is the greatest of these over all k.
+    """
+    sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.avg("size").alias("mean_size"))
+    by_source = [F.col("source").asc_nulls_last()]
+    numbered = _with_sums_before(sums, by_source, {"number": F.lit(1).cast("long")}, work, "sources")
     cycle = F.array(*[F.lit(float(w)) for w in weights])
+    weight = F.element_at(cycle, (F.col("number") % len(weights) + 1).cast("int"))
     weighed = work.store(
-        numbered.select(
-            number.alias("number"),
-            "source",
-            "source_size",
-            F.element_at(cycle, (number % len(weights) + 1).cast("int")).alias("weight"),
-        ),
-        "weighed",
+        numbered.withColumn("weight", weight).withColumn("cap", F.col("source_size") * most), "weighed"
     )
-    cap = F.col("source_size") * most
     total, heavy = weighed.agg(F.sum("source_size"), F.sum("weight")).first()
-    share = float(total or 0) / heavy if heavy else 0.0
-    while True:
-        full = cap < F.col("weight") * F.lit(share)
-        got = weighed.agg(
-            F.sum(F.when(full, cap)), F.sum(F.when(full, F.col("weight")))
-        ).first()
-        left = (heavy or 0.0) - (got[1] or 0.0)
-        again = (float(total or 0) - float(got[0] or 0)) / left if left else share
-        if again <= share:
-            break
-        share = again
-    target = F.least(cap.cast("double"), F.col("weight") * F.lit(share))
-    return weighed.select("number", "source", "source_size", target.alias("target"))
+    by_cap = [F.col("cap") / F.col("weight"), F.col("number")]
+    earlier = {"cap_before": F.col("cap"), "weight_before": F.col("weight")}
+    shares = (F.lit(total or 0) - F.col("cap_before")).cast("double") / (F.lit(heavy or 0.0) - F.col("weight_before"))
+    share = _with_sums_before(weighed, by_cap, earlier, work, "by-cap").agg(F.max(shares)).first()[0]
+    target = F.least(F.col("cap").cast("double"), F.col("weight") * F.lit(share or 0.0))
+    return weighed.select("number", "source", "source_size", "mean_size", target.alias("target"))
 
 
 def _first_above(sums: DataFrame, name: str) -> DataFrame:
@@ -94,15 +103,20 @@ def _first_above(sums: DataFrame, name: str) -> DataFrame:
     )
 
 
-def _cutoff(rows: DataFrame, budgets: DataFrame, work: WorkTables, name: str) -> DataFrame:
-    """Where the ranks of each source are cut off: number, rank, edge, at_edge, base, words.
+def _cutoff(rows: DataFrame, budgets: DataFrame, work: WorkTables, name: str, fit: bool) -> DataFrame:
+    """Where the ranks of each source are cut off, and what is picked from there on.
 
-    ``rows`` has number, rank, u, id and size; ``budgets`` number and budget. A source whose
-    rows all fit has no row in the result.
+    ``rows`` has number, rank, u, id and size; ``budgets`` has number, budget, goal and rest.
+    What ranks before the cut fits into the budget. Then one more is picked if that helps: the
+    next one or, with ``fit``, whichever of all that follow; it is the one after which ``rest``
+    more words can come nearest to ``goal``, then the one nearest to ``budget``, then the first.
+    A source whose rows all fit has no row in the result.
     """
     high = rows.groupBy("number", F.floor(F.col("rank") / DIGIT).alias("digit")).agg(F.sum("size").alias("words"))
     first = work.store(
-        _first_above(high.join(budgets, "number").withColumn("base", F.lit(0).cast("long")), "high"),
+        _first_above(
+            high.join(budgets.select("number", "budget"), "number").withColumn("base", F.lit(0).cast("long")), "high"
+        ),
         f"{name}-high",
     )
     inside = rows.join(first, "number").where(F.floor(F.col("rank") / DIGIT) == F.col("high"))
@@ -118,28 +132,47 @@ def _cutoff(rows: DataFrame, budgets: DataFrame, work: WorkTables, name: str) ->
         peers.withColumn("running", running + F.col("base"))
         .where((F.col("running") > F.col("budget")) & (F.col("running") - F.col("words") <= F.col("budget")))
     )
-    nearer = F.col("running") - F.col("budget") < F.col("budget") - (F.col("running") - F.col("words"))
+    edge = work.store(
+        edge.join(budgets.select("number", "goal", "rest"), "number").select(
+            "number", F.struct(F.col("cut").alias("rank"), "u", "id").alias("cut"), "words",
+            (F.col("running") - F.col("words")).alias("before"), "budget", "goal", "rest",
+        ),
+        f"{name}-edge",
+    )
+    after = edge.select("number", F.col("cut").alias("place"), "words")
+    if fit:
+        place = F.struct("rank", "u", "id").alias("place")
+        after = (
+            rows.join(edge.select("number", "cut"), "number").where(place >= F.col("cut"))
+            .groupBy("number", place).agg(F.sum("size").alias("words"))
+        )
+    total = F.col("before") + F.col("words")
+    picks = after.join(edge.drop("words"), "number").select(
+        "number", F.struct(*_distance(total), "place", "words").alias("pick")
+    )
+    best = picks.groupBy("number").agg(F.min("pick").alias("pick"))
+    helps = F.struct("pick.error", "pick.far") < F.struct(*_distance(F.col("before")))
+    chosen = edge.join(best, "number").withColumn("pick", F.when(helps, F.col("pick")))
     return work.store(
-        edge.select(
-            "number",
-            "cut",
-            F.col("u").alias("cut_u"),
-            F.col("id").alias("cut_id"),
-            nearer.alias("with_cut"),
-            F.when(nearer, F.col("running")).otherwise(F.col("running") - F.col("words")).alias("got"),
+        chosen.select(
+            "number", "cut", F.col("pick.place").alias("pick"),
+            (F.col("before") + F.coalesce("pick.words", F.lit(0))).alias("got"),
         ),
         f"{name}-cut",
     )
 
 
-def _below_cut() -> Column:
-    before = F.struct("u", "id") < F.struct("cut_u", "cut_id")
-    same = F.struct("u", "id") == F.struct("cut_u", "cut_id")
-    return (
-        F.col("cut").isNull()
-        | (F.col("rank") < F.col("cut"))
-        | ((F.col("rank") == F.col("cut")) & (before | (same & F.col("with_cut"))))
-    )
+def _distance(words: Column) -> tuple[Column, Column]:
+    """How far from goal the words end when up to rest more may come, and how far from budget."""
+    over = F.greatest(F.lit(0.0), words - F.col("goal"))
+    short = F.greatest(F.lit(0.0), F.col("goal") - words - F.col("rest"))
+    return (over + short).alias("error"), F.abs(words - F.col("budget")).alias("far")
+
+
+def _taken_by_cut() -> Column:
+    place = F.struct("rank", "u", "id")
+    picked = F.col("pick").isNotNull() & (place == F.col("pick"))
+    return F.col("cut").isNull() | (place < F.col("cut")) | picked
 
 
 def mix_sources(
@@ -152,9 +185,8 @@ def mix_sources(
     """
     spark: SparkSession = documents.sparkSession
     work = WorkTables(spark, "mix")
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     sized = work.store(
-        documents.select(F.col("doc_id"), F.col("source"), size.alias("size")), "sized"
+        documents.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sized"
     )
     targets = source_targets(sized, work, weights, most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -163,6 +195,7 @@ def mix_sources(
         "number",
         F.col("source").alias("its_source"),
         "source_size",
+        "mean_size",
         "target",
         whole.alias("whole"),
         (rate - whole).alias("odds_of"),
@@ -170,9 +203,14 @@ def mix_sources(
     )
     joined = sized.join(planned, F.col("source").eqNullSafe(F.col("its_source"))).drop("its_source")
     u, p = draw(F.col("doc_id")), F.col("odds_of")
-    odds = (F.col("u") / (1 - F.col("u"))) / (p / (1 - p))
-    # ascending with the odds
-    rank = F.floor(F.when(p > 0, odds / (1 + odds)).otherwise(F.col("u")) * F.lit(float(RANKS)))
+    source_odds = p / (1 - p)
+    inclusion_odds = source_odds * (F.col("mean_size") / (F.col("mean_size") + F.col("size")))
+    pareto = (F.col("u") / (1 - F.col("u"))) / inclusion_odds
+    # ascending with the Pareto rank; measured by the source's own odds, so that the digits of a
+    # source that is taken nearly whole or hardly at all spread like any other's
+    scaled = pareto * source_odds
+    drawn = (p > 0) & (F.col("size") > 0)
+    rank = F.floor(F.when(drawn, scaled / (1 + scaled)).otherwise(F.col("u")) * F.lit(float(RANKS)))
     rows = work.store(
         joined.withColumn("u", u)
         .withColumn("rank", F.least(rank.cast("long"), F.lit(RANKS - 1)))
@@ -182,18 +220,22 @@ def mix_sources(
     )
     sampled = rows.where((F.col("odds_of") > 0) & (F.col("size") > 0))
     wanted = sampled.groupBy("number", "odds_of", "wanted").agg(
-        F.coalesce(F.sum(F.when(F.col("large"), F.col("size"))), F.lit(0)).alias("large_size")
+        F.coalesce(F.sum(F.when(F.col("large"), F.col("size"))), F.lit(0)).alias("large_size"),
+        F.coalesce(F.sum(F.when(~F.col("large"), F.col("size"))), F.lit(0)).alias("rest"),
     )
     wanted = work.store(wanted, "wanted")
     large = sampled.where("large")
+    share = (F.col("odds_of") * F.col("large_size")).alias("budget")
     large_cut = _cutoff(
-        large, wanted.select("number", (F.col("odds_of") * F.col("large_size")).alias("budget")), work, "large"
+        large, wanted.select("number", share, F.col("wanted").alias("goal"), "rest"), work, "large", fit=True
     )
     # a source whose large documents all fit has no cut, and has then taken them all
     left = wanted.join(large_cut.select("number", "got"), "number", "left").select(
         "number", (F.col("wanted") - F.coalesce("got", "large_size")).alias("budget")
     )
-    small_cut = _cutoff(sampled.where(~F.col("large")), left.where("budget >= 0"), work, "small")
+    # nothing follows the small ones: what they come near to is the budget itself
+    ends = left.where("budget >= 0").select("number", "budget", F.col("budget").alias("goal"), F.lit(0).alias("rest"))
+    small_cut = _cutoff(sampled.where(~F.col("large")), ends, work, "small", fit=False)
     cuts = large_cut.withColumn("large", F.lit(True)).union(small_cut.withColumn("large", F.lit(False)))
     over = left.where("budget < 0").select("number", F.lit(True).alias("over"))
     chosen = (
@@ -201,7 +243,7 @@ def mix_sources(
         .withColumn(
             "extra",
             F.when(
-                (F.col("odds_of") > 0) & (F.col("size") > 0) & _below_cut()
+                (F.col("odds_of") > 0) & (F.col("size") > 0) & _taken_by_cut()
                 & (F.col("large") | F.col("over").isNull()),
                 1,
             ).otherwise(0),

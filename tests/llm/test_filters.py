@@ -333,6 +333,34 @@ def test_mix_comes_near_its_targets(spark):
     assert abs(sum(t for _, t, _ in by_source.values()) - sum(s for _, _, s in by_source.values())) < 1e-3
 
 
+def test_inclusion_odds_fall_with_size(spark):
+    # 4,000 texts of 2 words, 4,000 of 38 and another source that gives the first a rate of a half
+    rows = [(i, "a " * (2 if i % 2 else 38), "m") for i in range(8000)]
+    rows += [(10_000 + i, "b " * 40, "n") for i in range(1000)]
+    got = [r for r in mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=(2, 5)).collect() if r.source == "m"]
+    assert abs(sum(r.taken for r in got) - got[0].target) <= 38 and got[0].target < got[0].source_size
+    odds = []
+    for size in (2, 38):
+        part = [r.copies for r in got if r.size == size]
+        assert set(part) == {0, 1}
+        odds.append(sum(part) / (len(part) - sum(part)))
+    # inclusion odds go as 20 / (20 + size)
+    assert abs(odds[0] / odds[1] / (58 / 22) - 1) < 0.15
+
+
+def test_targets_of_many_sources(spark):
+    rng = np.random.default_rng(7)
+    rows = [
+        (i, "w " * int(rng.integers(0, 30)), f"s{int(rng.integers(1, 60) ** 2) // 9:03d}" if i % 50 else None)
+        for i in range(3000)
+    ]
+    rows += [(i, "w " * 9, "hot") for i in range(3000, 4500)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix_sources(documents).select("doc_id", "size", "source_size", "target", "taken").collect()
+    assert sorted(map(tuple, got), key=repr) == sql_mix(rows)
+    assert any(r.target == 3 * r.source_size for r in got)
+
+
 def test_awkward_mix(spark):
     got = mix_sources(frame(spark)).collect()
     assert len(got) == len(AWKWARD)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.ngram_join import ngram_groups, vertex_of
 from ledgerline.llm.quality import fit_quality, score_quality
 from ledgerline.llm.sentence_pieces import encode
-from ledgerline.llm.source_mix import mix_sources
+from ledgerline.llm.source_mix import mix_sources, word_count
 from ledgerline.llm.toxicity import fit_toxicity, score_toxicity
 from ledgerline.llm.worktables import WorkTables
 
@@ -25,14 +25,25 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier takes for good."""
+    """Documents that the quality classifier takes for good.
+
+    Null and empty texts are scored as texts without terms and go or stay by that score; texts
+    of any length are scored whole. Equal texts have equal scores, so repeated rows, and rows
+    without an id, go or stay together. Without labels or documents nothing breaks: a model
+    of no labelled text gives every document the same score.
+    """
     docs = _documents(docs)
     model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return _documents(score_quality(docs, model).where(F.col("predicted") == 1))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without significant toxic passages."""
+    """Documents without significant toxic passages.
+
+    Null and empty texts have no passage and stay. Texts of any length are scanned whole. Equal
+    texts have equal scores, so repeated rows, and rows without an id, go or stay together.
+    No documents give none; a model of no labelled text finds nothing.
+    """
     docs = _documents(docs)
     model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return _documents(score_toxicity(docs, model).where(F.col("predicted") == 0))
@@ -65,20 +76,27 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix has it."""
-    docs = _documents(docs)
-    copies = (
-        mix_sources(docs).groupBy("doc_id", "source").agg(F.max("copies").alias("copies"))
-        .select(F.col("doc_id").alias("its_id"), F.col("source").alias("its_source"), "copies")
-        .where("copies > 0")
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("its_id")) & F.col("source").eqNullSafe(F.col("its_source"))
+    """Every document as often as the mix has it.
+
+    A document that the mix leaves out, also one without words or with a null text, has no row.
+    A null source is a source. Rows of one id, source and size are taken alike; where rows share
+    an id but not their size, each has its own number of copies. No documents give none.
+    """
+    docs = _documents(docs).withColumn("size", word_count(F.col("text")))
+    keys = ("doc_id", "source", "size")
+    copies = mix_sources(docs).groupBy(*keys).agg(F.max("copies").alias("copies")).where("copies > 0 AND size > 0")
+    copies = copies.select("copies", *[F.col(k).alias(f"its_{k}") for k in keys])
+    same = [docs[k].eqNullSafe(copies[f"its_{k}"]) for k in keys]
     repeats = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
     return docs.join(copies, same).withColumn("repeat", repeats).select(*COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The piece ids of every document of the mix."""
+    """The piece ids of every document of the mix.
+
+    One row for each row of ``docs``, repeats included, with doc_id and source; null and empty
+    texts have no ids, texts of any length are encoded whole.
+    """
     path = public_tokenizers.path("piece_bpe_32k.model")
     return encode(_documents(docs), path, keep=("doc_id", "source"))
 

@@ -156,7 +156,7 @@ def fingerprint_chain(documents: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
     bounds = order_bounds(rows, "doc_id", wide(spark, 4))
-    placed = rows.withColumn("part", part_of(F.col("doc_id"), bounds).cast("int"))
+    placed = rows.withColumn("part", part_of(F.col("doc_id"), bounds, F.xxhash64("text")).cast("int"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     # one row for each range: the id and text hash its first document has, and the range before
     first = placed.groupBy("part").agg(

@@ -212,7 +212,7 @@ def write_token_file(documents: DataFrame, path: str, folder: str, end_id: int =
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # four ranges for each partition, so that partitions come out even
     bounds = order_bounds(rows, "doc_id", wide(spark, 4))
-    placed = rows.withColumn("part", part_of(F.col("doc_id"), bounds))
+    placed = rows.withColumn("part", part_of(F.col("doc_id"), bounds, F.xxhash64("text")))
     ordered = placed.repartition(wide(spark), "part").sortWithinPartitions(
         "part", F.col("doc_id").asc_nulls_first(), F.xxhash64("text")
     )

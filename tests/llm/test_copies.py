@@ -1,11 +1,14 @@
 """The n-gram join and fingerprints against brute force."""
 
 import hashlib
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.llm import ngram_join as join_module
 from ledgerline.llm.components import components
@@ -18,7 +21,7 @@ from ledgerline.llm.simhash import (
     fingerprints,
 )
 from ledgerline.llm.textwords import shingle_sets
-from ledgerline.llm.worktables import WorkTables
+from ledgerline.llm.worktables import WorkTables, order_bounds, part_of
 
 from helpers import AWKWARD, SF, frame, groups, near_pairs, shingles
 
@@ -221,3 +224,45 @@ def test_awkward_chain(spark):
     assert fingerprint_documents(frame(spark).limit(0)).count() == 0
     alone = fingerprint_documents(frame(spark, [(4, "just one text", "en", "a")])).collect()
     assert len(alone) == 1 and alone[0].near_next == 1.0
+
+
+def hot_rows():
+    """A third without an id, a third of one id, and others; some rows twice."""
+    text = lambda k: f"text {k} " * (k % 7 + 1) + "the end"
+    rows = [(None, text(k), "en", "a") for k in range(150)] + [(50, text(k), "en", "a") for k in range(150, 300)]
+    rows += [(k, text(k), "en", "b") for k in range(150)] + [(None, text(1), "en", "c"), (50, text(151), "en", "c")]
+    return rows
+
+
+def test_hot_ids_are_many_parts(spark):
+    rows = frame(spark, hot_rows())
+    bounds = order_bounds(rows, "doc_id", 24)
+    h = F.xxhash64("text")
+    placed = rows.select("doc_id", h.alias("h"), part_of(F.col("doc_id"), bounds, h).alias("part")).collect()
+    placed.sort(key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h))
+    assert [r.part for r in placed] == sorted(r.part for r in placed)
+    sizes = Counter(r.part for r in placed)
+    assert max(sizes.values()) <= 3 * len(placed) / 24 and len(sizes) >= 20
+    for few in (rows.where("doc_id IS NULL"), rows.where("doc_id = 50"), rows.limit(1), rows.limit(0)):
+        cut = order_bounds(few, "doc_id", 24)
+        parts = {r.part for r in few.select(part_of(F.col("doc_id"), cut, h).alias("part")).collect()}
+        assert len(parts) >= min(12, few.count())
+
+
+def test_chain_of_hot_ids(spark):
+    documents = frame(spark, hot_rows())
+    order = documents.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    order.sort(key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h))
+    want = []
+    for k, r in enumerate(order):
+        following = order[(k + 1) % len(order)].text
+        half = len(r.text) // 2
+        changed = r.text[: len(r.text) - half] + following[:half]
+        a, b, c = (int(p.tobytes().hex(), 16) for p in fingerprints(pa.array([r.text, changed, following])))
+        near = [round(1.0 if a == x else max(0.0, math.cos(math.pi * (a ^ x).bit_count() / BITS)), 9) for x in (b, c)]
+        want.append((r.doc_id, len(r.text), hashlib.sha256(changed.encode()).hexdigest(), *near))
+    got = [
+        (r.doc_id, r.n_chars, r.edited_sha256, round(r.near_edited, 9), round(r.near_next, 9))
+        for r in fingerprint_documents(documents).collect()
+    ]
+    assert sorted(got, key=repr) == sorted(want, key=repr)

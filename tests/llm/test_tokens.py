@@ -171,3 +171,14 @@ def test_token_file_of_awkward_documents(spark, tmp_path):
     assert all(len(r.ids) == r.n_tokens for r in got)
     write_token_file(frame(spark).limit(0), path, f"{tmp_path}/none")
     assert read_token_file(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_token_file_of_hot_ids(spark, tmp_path):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = [(None if k % 3 else 7, f"text {k} and more", "en", "a") for k in range(120)] + [(9, None, "en", "a")]
+    documents = frame(spark, rows)
+    write_token_file(documents, path, f"{tmp_path}/ids")
+    got = sorted(tuple(r) for r in read_token_file(spark, f"{tmp_path}/ids").select("start", "n_tokens", "ids_crc32").collect())
+    order = documents.selectExpr("doc_id", "text", "xxhash64(text) AS h").collect()
+    order.sort(key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h))
+    assert got == [r[1:] for r in expected_file([(r.doc_id, r.text) for r in order])]

@@ -13,7 +13,10 @@ instead, over a scan that is free to cut their files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import math
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +25,36 @@ from ledgerline.sinks.folders import partition_folders
 
 BLOCKS_PER_RANGE = 10_000
 HOT_SHARE = 0.01
+TASK_BYTES = 128 << 20  # of records as text, which a writing task sorts
+
+
+def _evenly(rows: DataFrame, place: Column, task_bytes: int) -> DataFrame:
+    """Deals ``rows`` to tasks by ``place``, each with about ``task_bytes`` of records as text.
+
+    Places lie one behind another on a line as long as all records, which tasks cut evenly: a
+    large place goes to several tasks, small ones share a task. The records of each place are
+    measured first, since compressed sizes, by which adaptive execution cuts, say little of what
+    a sort holds; the driver gets one size for each place. Records of one place are told apart by
+    their hash and input partition, which are the same when a lost task runs again.
+    """
+    spark = rows.sparkSession
+    size = F.octet_length(F.struct(*rows.columns).cast("string")).cast("long")
+    placed = rows.withColumn("_place", place.cast("long"))
+    sizes = placed.groupBy("_place").agg(F.sum(size).alias("n")).collect()
+    # a missing place is the first
+    sizes.sort(key=lambda r: (r["_place"] is not None, r["_place"] or 0))
+    ends = list(accumulate(r["n"] for r in sizes))
+    tasks = max(1, math.ceil((ends[-1] if ends else 0) / task_bytes))
+    line = [(r["_place"], end - r["n"], r["n"]) for r, end in zip(sizes, ends)]
+    known = spark.createDataFrame(line, "_at long, _before long, _bytes long")
+    found = placed.join(F.broadcast(known), F.col("_place").eqNullSafe(F.col("_at")))
+    # maps have no hash
+    hashed = [f.name for f in rows.schema if "map<" not in f.dataType.simpleString()]
+    parts = 1 << 20
+    within = F.pmod(F.xxhash64(*hashed, F.spark_partition_id()), F.lit(parts)) / parts
+    task = F.floor((F.col("_before") + F.col("_bytes") * within) / task_bytes)
+    dealt = found.withColumn("_task", F.least(task, F.lit(tasks - 1)).cast("int"))
+    return dealt.repartitionById(tasks, "_task").select(*rows.columns)
 
 
 def write_block_ranges(blocks: DataFrame, path: str, per_range: int = BLOCKS_PER_RANGE) -> None:
@@ -74,13 +107,18 @@ def read_block_ranges(
     return rows.drop("blocks_per_range", "block_range")
 
 
-def write_bucketed(rows: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
+def write_bucketed(
+    rows: DataFrame, table: str, path: str, buckets: int, task_bytes: int = TASK_BYTES
+) -> DataFrame:
     """Stores headers or receipts in hash buckets of their block number, as a table.
 
-    One shuffle here saves one in every join that follows. Each bucket is one task's file, so
-    there should be as many as a large job has tasks.
+    One shuffle here saves one in every join that follows. A bucket is one task in such a join,
+    so there should be as many as a large job has tasks; one of more than ``task_bytes`` is
+    written by several, as a file of each.
     """
-    dealt = rows.repartition(buckets, "block_number")
+    # the bucket that Spark's writer takes
+    bucket = F.pmod(F.hash("block_number"), F.lit(buckets))
+    dealt = _evenly(rows, bucket, task_bytes)
     (
         dealt.write.mode("overwrite").format("parquet").option("path", path)
         .bucketBy(buckets, "block_number").sortBy("block_number").saveAsTable(table)

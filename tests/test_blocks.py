@@ -78,3 +78,27 @@ def test_buckets_are_opened_by_another_catalogue(spark, tmp_path):
     assert again.count() == facts.count()
     assert "Exchange" not in plan_of(again.groupBy("block_number").count())
     spark.sql("DROP TABLE opened_rows")
+
+
+def most_in_a_file(rows):
+    sizes = rows.groupBy(F.input_file_name()).agg(F.sum(F.octet_length("timestamp")).alias("n"))
+    return max(r.n for r in sizes.collect())
+
+
+def crowded(spark):
+    """Two blocks have nearly all rows; 200,000 bytes of them in one."""
+    long_time = [(n % 3 // 2, f"0x{n:098x}") for n in range(3000)]
+    rows = long_time + [(n, "0x1") for n in range(2, 40)] + [(None, "0x2"), (5, None)]
+    return spark.createDataFrame(rows, HEADERS).repartition(3)
+
+
+def test_a_crowded_bucket_is_written_by_several_tasks(spark, tmp_path):
+    rows = crowded(spark)
+    stored = blocks.write_bucketed(rows, "crowded_rows", str(tmp_path / "rows"), 4, task_bytes=20_000)
+    assert most_in_a_file(stored) < 30_000
+    assert sorted(map(str, stored.collect())) == sorted(map(str, rows.collect()))
+    times = blocks.write_bucketed(rows, "crowded_headers", str(tmp_path / "headers"), 4)
+    joined = blocks.attach_bucketed_time(stored.withColumnRenamed("timestamp", "text"), times)
+    assert "Exchange" not in plan_of(joined)
+    want = decode.attach_time(rows.withColumnRenamed("timestamp", "text"), rows)
+    assert sorted(map(str, joined.collect())) == sorted(map(str, want.collect()))

@@ -57,11 +57,14 @@ def _evenly(rows: DataFrame, place: Column, task_bytes: int) -> DataFrame:
     return dealt.repartitionById(tasks, "_task").select(*rows.columns)
 
 
-def write_block_ranges(blocks: DataFrame, path: str, per_range: int = BLOCKS_PER_RANGE) -> None:
+def write_block_ranges(
+    blocks: DataFrame, path: str, per_range: int = BLOCKS_PER_RANGE, task_bytes: int = TASK_BYTES
+) -> None:
     """Writes blocks, headers or receipts by range; ranges in the input are replaced.
 
-    A range with very much data is cut into several files by the rebalance. One table has one
-    size of range; rows without a block number have no place in it and are left out.
+    A range of more than ``task_bytes`` is cut into several files, so that no task sorts more at
+    once. One table has one size of range; rows without a block number have no place in it and
+    are left out.
     """
     stored = partition_folders(blocks.sparkSession, path, "blocks_per_range")
     if any(int(f["blocks_per_range"]) != per_range for f in stored):
@@ -73,7 +76,8 @@ def write_block_ranges(blocks: DataFrame, path: str, per_range: int = BLOCKS_PER
             "block_range": F.floor(F.col("block_number") / per_range).cast("long"),
         }
     )
-    rows = ranged.hint("rebalance", "block_range").sortWithinPartitions("block_range", "block_number")
+    dealt = _evenly(ranged, F.col("block_range"), task_bytes)
+    rows = dealt.sortWithinPartitions("block_range", "block_number")
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

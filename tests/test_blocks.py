@@ -102,3 +102,15 @@ def test_a_crowded_bucket_is_written_by_several_tasks(spark, tmp_path):
     assert "Exchange" not in plan_of(joined)
     want = decode.attach_time(rows.withColumnRenamed("timestamp", "text"), rows)
     assert sorted(map(str, joined.collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_crowded_range_is_written_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "ranges")
+    rows = crowded(spark)
+    blocks.write_block_ranges(rows, path, per_range=10, task_bytes=20_000)
+    stored = blocks.read_block_ranges(spark, path, HEADERS)
+    assert most_in_a_file(stored) < 30_000
+    want = rows.where(F.col("block_number").isNotNull())
+    assert sorted(map(str, stored.collect())) == sorted(map(str, want.collect()))
+    blocks.write_block_ranges(rows.limit(0), path, per_range=10)
+    assert blocks.read_block_ranges(spark, path, HEADERS).count() == want.count()

@@ -21,6 +21,7 @@ from ledgerline.operators.rollups import DAILY_KEYS, stats_columns
 # a reader takes up to 4,096 rows of a row group at once, each with bitmaps of 4 KB
 _ROW_GROUP = 4 << 20
 _ROW_BITS = 33  # of monotonically_increasing_id are the row within its partition
+_LOT_BITS = 6  # buckets of a group that are made in one task: 64, of 2 million numbers
 
 
 @dataclass(frozen=True)
@@ -90,6 +91,16 @@ def _bucketed(rows: DataFrame) -> DataFrame:
     ).drop("number")
 
 
+def _gathered(rows: DataFrame, by: Sequence[str]):
+    """Rows in groups of ``by, bucket``, each brought together before its bitmap is made.
+
+    A number moves in a few bytes. Bitmaps made where the rows lie and united later would move in
+    4 KB each, most of them with one bit where a group's numbers lie far apart.
+    """
+    lots = rows.withColumn("_lot", F.shiftright("bucket", _LOT_BITS))
+    return lots.repartition(*by, "_lot").groupBy(*by, "_lot", "bucket")
+
+
 def transaction_bitmaps(
     transfers: DataFrame, numbers: DataFrame, by: Sequence[str] = DAILY_KEYS
 ) -> DataFrame:
@@ -107,7 +118,7 @@ def transaction_bitmaps(
     numbered = per_tx.join(numbers.withColumnRenamed("key", "tx_hash"), "tx_hash", "left")
     rows = _bucketed(numbered).withColumn("bucket", F.coalesce("bucket", F.lit(-1).cast("long")))
     lost = F.col("bit").isNull()
-    return rows.groupBy(*by, "bucket").agg(
+    return _gathered(rows, by).agg(
         F.bitmap_construct_agg("bit").alias("all"),
         F.bitmap_construct_agg(F.when(F.col("defi"), F.col("bit"))).alias("defi"),
         F.bitmap_construct_agg(F.when(F.col("rollup"), F.col("bit"))).alias("rollup"),
@@ -116,7 +127,7 @@ def transaction_bitmaps(
         F.bool_or(lost).alias("lost"),
         F.bool_or(lost & F.coalesce("defi", F.lit(False))).alias("lost_defi"),
         F.bool_or(lost & F.coalesce("rollup", F.lit(False))).alias("lost_rollup"),
-    )
+    ).drop("_lot")
 
 
 def address_bitmaps(
@@ -125,7 +136,7 @@ def address_bitmaps(
     """``by, bucket`` with a bitmap of the addresses on both sides, lower-cased."""
     parties = transfers.select(*by, F.explode(F.array(F.lower("from"), F.lower("to"))).alias("key"))
     rows = _bucketed(parties.where(F.col("key").isNotNull()).distinct().join(numbers, "key"))
-    return rows.groupBy(*by, "bucket").agg(F.bitmap_construct_agg("bit").alias("all"))
+    return _gathered(rows, by).agg(F.bitmap_construct_agg("bit").alias("all")).drop("_lot")
 
 
 def store_days(
@@ -143,11 +154,12 @@ def store_days(
     )
     sides = F.explode(F.array(F.lower("from"), F.lower("to"))).alias("key")
     parties = add_numbers(transfers.select(sides, F.col(place).alias("place")), tables.numbers("address"))
-    for kind, rows in (("tx", transaction_bitmaps(transfers, tx)), ("address", address_bitmaps(transfers, parties))):
-        placed = rows.withColumn("period", begins).hint("rebalance", "period")
-        ordered = placed.sortWithinPartitions("period", "asset", "date", "bucket")
+    # groups come in the order of period, asset, date and bucket; bitmaps are not sorted again
+    dated, by = transfers.withColumn("period", begins), ("period", *DAILY_KEYS)
+    made = {"tx": transaction_bitmaps(dated, tx, by), "address": address_bitmaps(dated, parties, by)}
+    for kind, rows in made.items():
         (
-            ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .option("parquet.block.size", _ROW_GROUP).partitionBy("period").parquet(tables.days(kind))
         )
 

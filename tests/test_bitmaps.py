@@ -67,6 +67,16 @@ def test_ranges_read_no_hashes(spark, rows, tmp_path):
     assert "tx_hash" not in plan and "numbers" not in plan and "bitmap_or_agg" in plan
 
 
+def test_numbers_are_moved_and_not_bitmaps(spark, rows, tmp_path):
+    ledger = frame(spark, rows)
+    numbers = spark.createDataFrame([(f"t{n}", n) for n in range(9)], "key string, number long")
+    for made in (bitmaps.transaction_bitmaps(ledger, numbers), bitmaps.address_bitmaps(ledger, numbers)):
+        whole = plan_of(made).split("partial_bitmap_construct_agg")
+        # from the first bitmap on nothing is exchanged or sorted, and rows come in order of the day
+        assert len(whole) > 1 and "Exchange" not in whole[0] and "Sort [" not in whole[0]
+        assert made.columns[:3] == ["asset", "date", "bucket"]
+
+
 def test_sets_equal_daily_and_overall(spark, rows):
     ledger = frame(spark, [*rows, ("nodate", None, "t", brute.address(1), brute.address(2), 1.0, True, True)])
     got = {}

@@ -88,3 +88,8 @@ def test_sets_equal_daily_and_overall(spark, rows):
     want |= {(True, k[0], None): v for k, v in as_dict(rollups.overall_stats(ledger), 1).items()}
     assert got == {k: v for k, v in want.items() if k != (False, "nodate", None)} and nodate[0] == 1.0
     assert plan_of(rollups.stats_by_sets(ledger)).count("Scan ExistingRDD") == 1
+
+
+def test_sets_move_each_key_once(spark, rows):
+    # the keys, then the counts
+    assert plan_of(rollups.stats_by_sets(frame(spark, rows))).count("Exchange hashpartitioning") == 2

@@ -9,7 +9,9 @@ its part. Parts are ranges of doc_id; a shard closes at a million ids, or after
 that goes beyond, so a reader never holds more than that or one document.
 
 Distinct words are encoded once for each worker process (the library encodes words that white
-space parts independently); a bounded table of what they gave is kept.
+space parts independently, and signs behind a word of Latin letters apart from it); a bounded
+table of what they gave is kept, from which the words used least go first. Words are matched with
+the table, and ids put together, in Arrow; Python sees new words alone.
 
 Defined cases: a null or empty text has no ids but the end id. Rows with a null doc_id come
 first. Rows with the same doc_id stay rows of their own, ordered by a hash of their text.
@@ -19,9 +21,10 @@ Very long texts are encoded whole. Columns other than doc_id and text are not lo
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +32,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.elias_fano import EliasFano
-from ledgerline.llm.textwords import slices
+from ledgerline.llm.textwords import slices, text_bytes
 from ledgerline.llm.worktables import WorkTables, order_bounds, part_of, wide
 
 SHARD_IDS = 1 << 20
 KNOWN_WORDS = 600_000
+TEXT_BYTES = 4 << 20
 
 SHARDS = (
     "part int, seq int, n_docs int, n_ids long, ids_before long, id_bytes int, ids binary, "
@@ -50,7 +54,24 @@ SHARD_TYPES = pa.schema(
 
 # white space at which texts may be parted without changing what the library gives
 _GAPS = bytes.maketrans(b"\n", b" ")
-_STOPS = b".,;:!?"
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+
+_LETTER, _SIGN, _TRAIL, _OTHER = 1, 2, 3, 4
+
+
+def _byte_kinds() -> np.ndarray:
+    """Letters and signs of ASCII, 0xC3 that leads À to ÿ, bytes that follow a lead, the rest."""
+    kinds = np.full(256, _OTHER, np.uint8)
+    for b in range(0x21, 0x7F):
+        if not chr(b).isdigit():
+            kinds[b] = _LETTER if chr(b).isalpha() else _SIGN
+    kinds[0x20] = 0
+    kinds[0x80:0xC0] = _TRAIL
+    kinds[0xC3] = _LETTER
+    return kinds
+
+
+_BYTE_KINDS = _byte_kinds()
 
 
 def _byte_letters() -> dict[int, str]:
@@ -63,6 +84,23 @@ def _byte_letters() -> dict[int, str]:
 _BYTE_LETTERS = _byte_letters()
 
 
+def _tails(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where the signs begin in words of Latin letters with signs of ASCII behind them."""
+    kinds = _BYTE_KINDS[raw]
+    trail = np.flatnonzero(kinds == _TRAIL)
+    # × and ÷ are no letters; a trail byte at 0 has none before it and is none in valid UTF-8
+    latin = (raw[trail - 1] == 0xC3) & (raw[trail] != 0x97) & (raw[trail] != 0xB7)
+    kinds[trail] = np.where(latin, _LETTER, _OTHER)
+    before = np.zeros_like(kinds)
+    before[1:] = kinds[:-1]
+    before[starts] = 0
+    mixed = np.flatnonzero((kinds == _OTHER) | ((kinds == _LETTER) & (before == _SIGN)))
+    plain = np.ones(len(starts) + 1, bool)
+    plain[np.searchsorted(starts, mixed, "right")] = False
+    tails = np.flatnonzero((kinds == _SIGN) & (before == _LETTER))
+    return tails[plain[np.searchsorted(starts, tails, "right")]]
+
+
 class WordEncoder:
     """Ids of texts through the ids of their words."""
 
@@ -72,18 +110,23 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.code = "H" if self.kind is np.uint16 else "I"
-        self.known: dict[bytes, bytes] = {b"": b""}
+        self.words = self.ids = pa.array([], pa.large_binary())
+        self.uses = np.zeros(0, np.int64)
         self.folds = self._folds_case()
         self.apart = self._by_words()
-        self.direct = False
         tried = ["a", "hello", "école", "straße", "ñandú", "ünübertreffbarkeiten", "naïveté", "µ"]
-        self.direct = self.folds and [self._letters(w) for w in tried] == self._packed(tried)
+        signs = [".", ",", "!!", "***", "'", '."']
+        tailed = [w + s for w in tried[:-1] for s in signs]
+        self.direct = (
+            self.folds
+            and [self._letters(w) for w in tried] == self._listed(tried)
+            and [a + b for a in self._listed(tried[:-1]) for b in self._listed(signs)] == self._listed(tailed)
+        )
 
-    def _packed(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
+    def _listed(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _folds_case(self) -> bool:
         """Whether the file lower-cases what it reads; only then are words folded first."""
@@ -95,52 +138,91 @@ class WordEncoder:
 
     def _by_words(self) -> bool:
         """Whether a space leaves no trace in the ids, so that words are independent."""
-        a, b, both = self._packed(["one", "two", "one  two"])
+        a, b, both = self._listed(["one", "two", "one  two"])
         return a + b == both
 
-    def _letters(self, word: str) -> bytes:
+    def _letters(self, word: str) -> list[int]:
         """Ids of a word of Latin letters from the library's model alone.
 
         Nothing but lower case and the byte letters of such files stands between the two, which
         is tried out before it is relied on.
         """
-        raw = word.lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
-        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(raw)]).tobytes()
+        word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return [t.id for t in self.model.tokenize(word)]
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of every text, as little-endian numbers; a null is an empty text."""
         if not self.apart:
-            return self._packed([t.decode() for t in texts])
-        cut = [self._cut(t) for t in texts]
-        if len(self.known) > KNOWN_WORDS:
-            self.known = {b"": b""}
-        known = self.known
-        new = set().union(*cut).difference(known)
-        if new:
-            self._learn(new)
-        return [b"".join(map(known.__getitem__, words)) for words in cut]
-
-    def _cut(self, text: bytes) -> list[bytes]:
-        # special strings are looked for before letters are folded
-        if self.folds and b"<|" not in text:
-            text = text.lower()
-        return text.translate(_GAPS).split(b" ")
-
-    def _learn(self, words: set[bytes]) -> None:
-        """A word of letters with a full stop or comma behind is the word and the sign."""
-        bare = {w: w[:-1] for w in words if w[-1] in _STOPS and w[:-1].isalpha()}
-        ask = words.difference(bare).union(bare.values(), {w[-1:] for w in bare})
-        rest = []
-        for word in ask.difference(self.known):
-            text = word.decode()
-            if self.direct and text.isalpha() and max(text) <= "ÿ":
-                self.known[word] = self._letters(text)
+            found = self._listed([t or "" for t in texts.to_pylist()])
+            return [np.array(ids, self.kind).tobytes() for ids in found]
+        pieces, firsts = self._cut(texts)
+        if not len(pieces):
+            return [b""] * len(texts)
+        # known words keep their places, new ones follow
+        coded = pa.chunked_array([self.words, pieces]).dictionary_encode().chunks[-1]
+        words, places = coded.dictionary, coded.indices
+        ids = pa.concat_arrays([self.ids, *self._learn(words.slice(len(self.words)))])
+        self._keep(words, ids, places.to_numpy())
+        _, offsets, data = ids.take(places).buffers()
+        ends = np.frombuffer(offsets, np.int64)[firsts].tolist()
+        raw = data.to_pybytes() if data is not None else b""
+        return [raw[a:b] for a, b in zip(ends, ends[1:])]
+
+    def _cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Words, signs behind a word apart from it, and the first word of each text."""
+        raw, offsets = text_bytes(texts)
+        data = raw.tobytes()
+        if self.folds:
+            # special strings are looked for, and marks joined to letters, before letters are folded
+            capitals = np.flatnonzero(raw[1:] >= 0xCC)
+            capitals = capitals[(raw[capitals] >= ord("A")) & (raw[capitals] <= ord("Z"))]
+            spared = set((np.searchsorted(offsets, capitals, "right") - 1).tolist())
+            if spared or b"<|" in data:
+                each = (data[a:b] for a, b in zip(offsets.tolist(), offsets[1:].tolist()))
+                data = b"".join(
+                    t if i in spared or b"<|" in t else t.lower() for i, t in enumerate(each)
+                )
             else:
-                rest.append((word, text))
-        for k in range(0, len(rest), 4096):
-            part = rest[k : k + 4096]
-            found = self._packed([text for _, text in part])
-            self.known.update((word, ids) for (word, _), ids in zip(part, found))
-        self.known.update((w, self.known[b] + self.known[w[-1:]]) for w, b in bare.items())
+                data = data.lower()
+        raw = np.frombuffer(data.translate(_GAPS), np.uint8)
+        inside = raw != 0x20
+        first = np.zeros(len(raw) + 1, bool)
+        first[offsets] = True
+        first[1:] |= ~inside
+        first = first[:-1] & inside
+        if self.direct:
+            first[_tails(raw, np.flatnonzero(first))] = True
+        raw, begins = raw[inside], np.flatnonzero(first[inside])
+        offsets = offsets - np.searchsorted(np.flatnonzero(~inside), offsets)
+        bounds = np.append(begins, len(raw))
+        pieces = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(begins), [None, pa.py_buffer(bounds), pa.py_buffer(raw)]
+        )
+        return pieces, np.searchsorted(begins, offsets)
+
+    def _learn(self, words: pa.Array) -> Iterator[pa.Array]:
+        for k in range(0, len(words), 1 << 16):
+            asked = [w.decode() for w in words.slice(k, 1 << 16).to_pylist()]
+            found = [self._letters(w) if self.direct and _LATIN(w) else None for w in asked]
+            rest = [i for i, ids in enumerate(found) if ids is None]
+            for i, ids in zip(rest, self._listed([asked[i] for i in rest])):
+                found[i] = ids
+            flat = np.fromiter(chain.from_iterable(found), self.kind)
+            ends = np.cumsum([0, *map(len, found)]) * flat.itemsize
+            yield pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(found), [None, pa.py_buffer(ends), pa.py_buffer(flat)]
+            )
+
+    def _keep(self, words: pa.Array, ids: pa.Array, places: np.ndarray) -> None:
+        """Remembers the words; where they are too many, the half of them used most."""
+        uses = np.bincount(places, minlength=len(words))
+        uses[: len(self.uses)] += self.uses
+        if len(words) > KNOWN_WORDS:
+            kept = np.sort(np.argpartition(-uses, KNOWN_WORDS // 2)[: KNOWN_WORDS // 2])
+            words, ids, uses = words.take(pa.array(kept)), ids.take(pa.array(kept)), uses[kept] // 2
+        self.words, self.ids, self.uses = words, ids, uses
 
 
 class _Shard:
@@ -188,9 +270,8 @@ def _shard_writer(path: str, end_id: int):
         width = np.dtype(words.kind).itemsize
         end = np.array([end_id], words.kind).tobytes()
         shard = None
-        for batch in slices(batches, "text"):
-            texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
-            found = words.encode(texts)
+        for batch in slices(batches, "text", TEXT_BYTES):
+            found = words.encode(batch.column("text"))
             docs = batch.column("doc_id").to_pylist()
             for part, doc, ids in zip(batch.column("part").to_pylist(), docs, found):
                 if shard is not None and (shard.part != part or shard.size >= SHARD_IDS):

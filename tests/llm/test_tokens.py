@@ -5,10 +5,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from ledgerline.llm import sentence_pieces
+from ledgerline.llm import sentence_pieces, token_file
 from ledgerline.llm.bpe_pairs import PairRule, merged
 from ledgerline.llm.elias_fano import EliasFano
 from ledgerline.llm.token_count import Counter, CountRule, count_tokens
@@ -182,3 +183,36 @@ def test_token_file_of_hot_ids(spark, tmp_path):
     order = documents.selectExpr("doc_id", "text", "xxhash64(text) AS h").collect()
     order.sort(key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h))
     assert got == [r[1:] for r in expected_file([(r.doc_id, r.text) for r in order])]
+
+
+def test_words_are_learnt_without_the_signs_behind_them(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    encoder = token_file.WordEncoder(path)
+    asked = []
+    for name, listed in (("_letters", lambda w: [w]), ("_listed", list)):
+        plain = getattr(encoder, name)
+        monkeypatch.setattr(encoder, name, lambda x, f=plain, l=listed: asked.extend(l(x)) or f(x))
+    texts = ["Haus haus*** übung. haus,", None, "übung haus!!\nHAUS %%% haus***", "", "haus. naïve' ,"]
+    got = encoder.encode(pa.array(texts, pa.string()))
+    assert sorted(asked) == sorted(["haus", "übung", "naïve", "***", ".", ",", "!!", "%%%", "'"])
+    assert encoder.encode(pa.array(texts, pa.string())) == got and len(asked) == 9
+    for text, ids in zip(texts, got):
+        want = tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert np.frombuffer(ids, np.uint16).tolist() == want, text
+
+
+def test_words_used_most_are_kept(monkeypatch):
+    monkeypatch.setattr(token_file, "KNOWN_WORDS", 40)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    encoder = token_file.WordEncoder(path)
+    odd = ["ab×cd. é÷, a\u0338=. =\u0338 don't. x's's, 'd. <|endoftext|>. É<|", "a.b. ÿ!a! ª. µ,", "T\u0308a W\u030a.", "J\u0327\u030c"]
+    bits = [*random_texts(1500, 12), *odd]
+    for k in range(0, len(bits), 100):
+        texts = [f"{t or ''} the house, of the house." for t in bits[k : k + 100]] + [None]
+        for text, ids in zip(texts, encoder.encode(pa.array(texts, pa.string()))):
+            want = tokenizer.encode(text or "", add_special_tokens=False).ids
+            assert np.frombuffer(ids, np.uint16).tolist() == want, text
+        assert len(encoder.words) == len(encoder.ids) <= 40
+    assert {b"the", b"house", b"of"} <= set(encoder.words.to_pylist())
